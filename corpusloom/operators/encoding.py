@@ -10,6 +10,7 @@ from corpusloom.functions import tokens as tk
 from corpusloom.functions.det import uniform
 from corpusloom.functions.text import UNKNOWN
 from corpusloom.operators.indexing import with_index, with_running_total
+from corpusloom.session import materialise
 
 # Ids of the special tokens that precede a corpus vocabulary.
 SPECIALS = [tk.BOS, tk.PAD, tk.EOS, UNKNOWN]
@@ -182,8 +183,10 @@ def pad_to_batch(
 def token_stream(encoded: DataFrame, key: str, ids: str = "ids") -> DataFrame:
     """One flat stream ``(pos, token_id)`` of the encoded texts in key order.
 
-    Only the text lengths are put in order; tokens are numbered inside their text.
+    Only the text lengths are put in order; tokens are numbered inside their text. The
+    encoded texts are written once, as both the lengths and the tokens are read from them.
     """
+    encoded = materialise(encoded, "encoded")
     lengths = encoded.select(key, F.size(ids).cast("bigint").alias("_n"))
     offsets = with_running_total(lengths, [key], "_n", "_offset").select(key, "_offset")
     return (

@@ -12,6 +12,7 @@ from corpusloom.functions.det import uniform
 from corpusloom.functions.text import strip
 from corpusloom.operators.splits import pick_with_replacement
 from corpusloom.operators.walks import advance, uniform_transitions
+from corpusloom.session import materialise
 
 # The end marker of a line and the number of steps after the second word.
 END = "endl"
@@ -30,7 +31,7 @@ def markov1(texts: DataFrame, text_col: str) -> DataFrame:
     The length test sits inside the exploded expression; as a filter it would be pushed
     below the projection and the tokeniser would run twice.
     """
-    w = tk.words(F.col(text_col))
+    w = F.col("w")
     pairs = F.when(
         F.size(w) >= 2,
         F.transform(
@@ -38,11 +39,16 @@ def markov1(texts: DataFrame, text_col: str) -> DataFrame:
             lambda i: F.struct(F.get(w, i).alias("w1"), F.get(w, i + 1).alias("nxt")),
         ),
     )
-    return texts.select(F.inline(pairs)).groupBy("w1", "nxt").agg(F.count("*").alias("n"))
+    tokens = texts.select(tk.words(F.col(text_col)).alias("w"))
+    return tokens.select(F.inline(pairs)).groupBy("w1", "nxt").agg(F.count("*").alias("n"))
 
 
-def word_triples(w: Column, end: str = END) -> Column:
-    """Every ``(w1, w2, nxt)`` of a word array, the last pair followed by ``end``."""
+def word_triples(words: str, end: str = END) -> Column:
+    """Every ``(w1, w2, nxt)`` of an array column, the last pair followed by ``end``.
+
+    ``words`` names a column: an expression would be evaluated again for each triple.
+    """
+    w = F.col(words)
     return F.when(
         F.size(w) >= 3,
         F.transform(
@@ -61,10 +67,9 @@ def markov2(texts: DataFrame, text_col: str, end: str = END) -> DataFrame:
 
     Texts of fewer than three words contribute nothing.
     """
-    triples = word_triples(tk.words(F.col(text_col)), end)
-    return (
-        texts.select(F.inline(triples)).groupBy("w1", "w2", "nxt").agg(F.count("*").alias("n"))
-    )
+    tokens = texts.select(tk.words(F.col(text_col)).alias("w"))
+    triples = tokens.select(F.inline(word_triples("w", end)))
+    return triples.groupBy("w1", "w2", "nxt").agg(F.count("*").alias("n"))
 
 
 def thousandths(n: Column, total: Column) -> Column:
@@ -134,8 +139,9 @@ class LineWriter:
         self.second_table = second.leading_to(
             later.contexts, {"w1": F.col("w1"), "w2": F.col("out")}
         )
-        self.later_table = later.leading_to(
-            later.contexts, {"w1": F.col("w2"), "w2": F.col("out")}
+        # Read once per step, so written once.
+        self.later_table = materialise(
+            later.leading_to(later.contexts, {"w1": F.col("w2"), "w2": F.col("out")}), "steps"
         )
         self.end = end
         self.max_steps = max_steps
