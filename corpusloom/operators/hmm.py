@@ -423,8 +423,10 @@ def _emit(states: DataFrame, keys: list[str], model: Model, seed: int) -> DataFr
     """One token for each ``(keys, pos, state)`` by equi-join on the emission slots."""
     table = weighted_transitions(emission_rows(model), ["state"], "token", "p")
     walkers = states.join(table.contexts, "state")
-    drawn = advance(walkers, table.last(), [*keys, "pos"], -1, seed, weighted=True)
-    return drawn.select(*keys, "pos", "state", F.col("out").alias("token"))
+    drawn = advance(
+        walkers, table.last(), [*keys, "pos"], -1, seed, True, {"token": F.col("out")}
+    )
+    return drawn.select(*keys, "pos", "state", "token")
 
 
 def generate(sequences: DataFrame, keys: list[str], model: Model, n: int, seed: int = 42) -> DataFrame:

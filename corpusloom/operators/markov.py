@@ -159,25 +159,25 @@ class LineWriter:
             .join(self.first_words, "w1")
             .select(*keys, F.array("w1").alias("words"), "start", "count")
         )
-        walkers = advance(walkers, self.second_table, keys, 0, seed, weighted=False)
-        walkers = walkers.withColumns(
-            {"words": F.concat("words", F.array("out")), "done": F.lit(False)}
+        longer = F.concat("words", F.array("out"))
+        walkers = advance(
+            walkers,
+            self.second_table,
+            keys,
+            0,
+            seed,
+            weighted=False,
+            update={"words": longer, "done": F.lit(False)},
         )
+        ended = F.col("out").eqNullSafe(self.end)
+        update = {
+            "words": F.when(ended | F.col("out").isNull(), F.col("words")).otherwise(longer),
+            "done": F.col("done") | ended,
+            "start": F.when(~ended, F.col("next_start")),
+        }
         for step in range(1, self.max_steps + 1):
-            alive = F.col("done") | F.col("start").isNotNull()
-            walkers = advance(
-                walkers.drop("out").filter(alive), self.later_table, keys, step, seed, False
-            )
-            ended = F.col("out").eqNullSafe(self.end)
-            walkers = walkers.withColumns(
-                {
-                    "words": F.when(ended | F.col("out").isNull(), F.col("words")).otherwise(
-                        F.concat("words", F.array("out"))
-                    ),
-                    "done": F.col("done") | ended,
-                    "start": F.when(~ended, F.col("start")),
-                }
-            )
+            alive = walkers.filter(F.col("done") | F.col("start").isNotNull())
+            walkers = advance(alive, self.later_table, keys, step, seed, False, update)
         return walkers.filter("done").select(*keys, F.array_join("words", " ").alias("line"))
 
     def write_play(
