@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,6 +22,9 @@ SPECIALS = [tk.BOS, tk.PAD, tk.EOS, UNKNOWN]
 BOS_ID, PAD_ID, EOS_ID, UNKNOWN_ID = range(4)
 IGNORED_LABEL = -100
 
+#: Vocabularies up to this many bytes are sent to the tasks; larger ones are joined.
+BROADCAST_LIMIT = 64 * 2**20
+
 
 def build_vocab(token_rows: DataFrame, position: list[str], first_id: int = 0) -> DataFrame:
     """Distinct tokens numbered by first appearance: ``(token, token_id, n)``.
@@ -24,15 +32,29 @@ def build_vocab(token_rows: DataFrame, position: list[str], first_id: int = 0) -
     ``token_rows`` has ``token`` and the ``position`` columns. One partial aggregation
     reduces the corpus to one row per distinct token before anything is ordered.
     """
-    first = (
-        token_rows.groupBy("token")
-        .agg(F.count("*").alias("n"), F.min(F.struct(*position)).alias("first"))
-        .select("token", "n", *[F.col("first")[c].alias(c) for c in position])
+    first = token_rows.groupBy("token").agg(
+        F.count("*").alias("n"), F.min(_place(token_rows, position)).alias("first")
     )
-    numbered = with_index(first, position, "token_id")
+    numbered = with_index(first, ["first"], "token_id")
     return numbered.select("token", (F.col("token_id") + first_id).alias("token_id"), "n")
 
 
+def _place(df: DataFrame, position: list[str]) -> Column:
+    """The position columns as one value that sorts like them.
+
+    A number where the text id is one: a minimum over numbers is hash-aggregated, over
+    structs it would sort all tokens first. Line and token positions are ints.
+    """
+    text_id, *within = position
+    kinds = dict(df.dtypes)
+    if kinds[text_id] not in ("int", "bigint") or any(kinds[c] != "int" for c in within):
+        return F.struct(*position)
+    place = F.lit(0).cast("bigint")
+    for column in within:
+        place = place * 2**31 + F.col(column)
+    return F.col(text_id).cast("decimal(19,0)") * F.lit(Decimal(2**62)) + place
+
+
 def with_specials(spark, vocab: DataFrame) -> DataFrame:
     """Put the special tokens in front of a vocabulary built with ``first_id=4``."""
     fixed = spark.range(len(SPECIALS)).select(
@@ -75,20 +97,66 @@ def encode_texts(
     tokenizer=tk.pieces,
     unknown_id: int | None = UNKNOWN_ID,
     limits: dict[str, int] | None = None,
+    broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """``keys`` and one id array per text column; ``columns`` maps array name to column.
 
-    All columns go through one explode, one vocabulary join and one regrouping by
-    ``keys``. A text without tokens gets an empty array. ``limits`` keeps the leading
-    tokens only, before the join, for operators whose result is a fixed-length row.
+    A text without tokens gets an empty array. ``limits`` keeps the leading tokens only,
+    for operators whose result is a fixed-length row. A vocabulary within
+    ``broadcast_limit`` bytes is looked up inside the tasks, without any shuffle; a larger
+    one is joined.
     """
     limits = limits or {}
-    parts = []
+    tokens = {}
     for name, column in columns.items():
-        tokens = tokenizer(F.col(column))
-        if name in limits:
-            tokens = F.slice(tokens, 1, limits[name])
-        parts.append(_numbered(name, tokens))
+        found = tokenizer(F.col(column))
+        tokens[name] = F.slice(found, 1, limits[name]) if name in limits else found
+    size = vocab.agg(
+        F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("token")), F.lit(0)).alias("bytes")
+    ).first()
+    if size["bytes"] + 16 * size["n"] <= broadcast_limit:
+        split = df.select(*keys, *[c.alias(n) for n, c in tokens.items()])
+        return _look_up(split, keys, list(columns), vocab, unknown_id)
+    return _join_and_regroup(df, keys, tokens, vocab, unknown_id)
+
+
+def _look_up(
+    split: DataFrame, keys: list[str], names: list[str], vocab: DataFrame, unknown_id: int | None
+) -> DataFrame:
+    """Token arrays to id arrays, batch by batch, with the vocabulary in each task."""
+    table = vocab.select("token", "token_id").toArrow()
+    shared = split.sparkSession.sparkContext.broadcast(
+        (table["token"].combine_chunks(), table["token_id"].combine_chunks())
+    )
+    unknown = pa.scalar(unknown_id, pa.int64())
+
+    def run(batches):
+        known, ids = shared.value
+        for batch in batches:
+            done = [batch.column(k) for k in keys]
+            for name in names:
+                column = batch.column(name)
+                at = pc.index_in(column.flatten(), value_set=known)
+                found = pc.fill_null(ids.take(at), unknown) if unknown_id is not None else ids.take(at)
+                lengths = pc.fill_null(pc.list_value_length(column), 0)
+                ends = np.concatenate([[0], np.cumsum(lengths.to_numpy(zero_copy_only=False))])
+                done.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found))
+            yield pa.RecordBatch.from_arrays(done, keys + names)
+
+    kinds = dict(split.dtypes)
+    schema = [f"`{k}` {kinds[k]}" for k in keys] + [f"`{n}` array<bigint>" for n in names]
+    return split.mapInArrow(run, ", ".join(schema))
+
+
+def _join_and_regroup(
+    df: DataFrame,
+    keys: list[str],
+    tokens: dict[str, Column],
+    vocab: DataFrame,
+    unknown_id: int | None,
+) -> DataFrame:
+    """All columns through one explode, one vocabulary join and one regrouping."""
+    parts = [_numbered(name, column) for name, column in tokens.items()]
     rows = df.select(*keys, F.inline_outer(F.concat(*parts)))
     encoded = encode_rows(rows, vocab, unknown_id)
     return encoded.groupBy(*keys).agg(
@@ -96,7 +164,7 @@ def encode_texts(
             F.sort_array(
                 F.collect_list(F.when(F.col("part") == name, F.struct("pos", "token_id")))
             )["token_id"].alias(name)
-            for name in columns
+            for name in tokens
         ]
     )
 

@@ -20,7 +20,7 @@ from corpusloom.functions import tokens as tk
 from corpusloom.functions.det import uniform, uniform_value
 from corpusloom.functions.text import normalise_line
 from corpusloom.operators import hmm_kernel as kernel
-from corpusloom.operators.encoding import build_vocab, collect_ordered, encode_rows
+from corpusloom.operators.encoding import build_vocab, encode_texts
 from corpusloom.operators.walks import advance, weighted_transitions
 from corpusloom.session import materialise
 
@@ -67,11 +67,23 @@ def line_vocab(lines: DataFrame, keys: list[str], line_col: str = "line") -> Dat
 
 
 def encode_lines(
-    lines: DataFrame, keys: list[str], vocab: DataFrame, line_col: str = "line", newline: bool = True
+    lines: DataFrame,
+    keys: list[str],
+    vocab: DataFrame,
+    line_col: str = "line",
+    newline: bool = True,
+    limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """``(keys, ids)``; a token outside the vocabulary becomes -1."""
-    rows = tk.token_rows(lines, keys, line_col, lambda c: tk.runs(c, newline))
-    return collect_ordered(encode_rows(rows, vocab, -1), keys, "pos", "token_id", "ids")
+    return encode_texts(
+        lines,
+        keys,
+        {"ids": line_col},
+        vocab,
+        lambda c: tk.runs(c, newline),
+        unknown_id=-1,
+        broadcast_limit=limit,
+    )
 
 
 def init_model(
@@ -387,7 +399,7 @@ def train(
     them.
     """
     vocab = materialise(line_vocab(lines, keys, line_col), "vocab")
-    encoded = materialise(encode_lines(lines, keys, vocab, line_col), "lines")
+    encoded = materialise(encode_lines(lines, keys, vocab, line_col, limit=limit), "lines")
     model = init_model(vocab, states, seed, a, pi)
     history: list[float] = []
     while len(history) < max_iterations:

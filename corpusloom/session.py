@@ -16,6 +16,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Spark compares each table's size with this before it broadcasts one.
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
 }
 
