@@ -155,9 +155,17 @@ def padded_sql(length: int) -> str:
       FROM padded)"""
 
 
-def encoded_prompts(t):
-    prompts = build_prompts(clean_corpus(t.corpus()), True, True, True, True, augment=True)
-    return en.encode_pairs(prompts, piece_vocab(t))
+def all_prompts(t):
+    return build_prompts(clean_corpus(t.corpus()), True, True, True, True, augment=True)
+
+
+def padded_prompts(t, column, length):
+    """The prompt rows with one side encoded: ids and mask of ``length``."""
+    ids = en.encode_texts(
+        all_prompts(t), ["id", "variant"], {"ids": column}, piece_vocab(t), limits={"ids": length}
+    )
+    padded, mask = en.pad_truncate(F.col("ids"), length)
+    return ids.select("id", "variant", padded.alias("ids"), mask.alias("mask"))
 
 
 @query(
@@ -169,11 +177,11 @@ def encoded_prompts(t):
       FROM filled""",
 )
 def pad_truncate_source(t):
-    return encoded_prompts(t).select(
+    return padded_prompts(t, "source", 42).select(
         "id",
         "variant",
-        F.array_join("input_ids", ",").alias("input_ids"),
-        F.array_join("attention_mask", ",").alias("attention_mask"),
+        F.array_join("ids", ",").alias("input_ids"),
+        F.array_join("mask", ",").alias("attention_mask"),
     )
 
 
@@ -183,7 +191,29 @@ def pad_truncate_source(t):
       {padded_sql(384)} SELECT id, variant, array_to_string(ids, ',') AS labels FROM filled""",
 )
 def pad_truncate_target(t):
-    return encoded_prompts(t).select("id", "variant", F.array_join("labels", ",").alias("labels"))
+    return padded_prompts(t, "target", 384).select(
+        "id", "variant", F.array_join("ids", ",").alias("labels")
+    )
+
+
+@query(
+    "encode_pairs",
+    f"""WITH {ALL_PROMPTS}, {encoded_sql('prompts', 'id, variant', 'source', 'src')},
+      {encoded_sql('prompts', 'id, variant', 'target', 'tgt')},
+      coded AS (SELECT id, variant, list_concat([0], src.ids[:40], [2]) AS s,
+        list_concat([0], tgt.ids[:382], [2]) AS t FROM src JOIN tgt USING (id, variant))
+      SELECT id, variant, array_to_string(s, ',') || repeat(',1', 42 - len(s)) AS input_ids,
+        len(s)::INT AS used, array_to_string(t, ',') || repeat(',1', 384 - len(t)) AS labels FROM coded""",
+)
+def encode_pairs(t):
+    used = F.aggregate("attention_mask", F.lit(0), lambda total, m: total + m)
+    return en.encode_pairs(all_prompts(t), piece_vocab(t)).select(
+        "id",
+        "variant",
+        F.array_join("input_ids", ",").alias("input_ids"),
+        used.alias("used"),
+        F.array_join("labels", ",").alias("labels"),
+    )
 
 
 def split_sql(u: str) -> str:

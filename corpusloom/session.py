@@ -18,6 +18,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Spark compares each table's size with this before it broadcasts one.
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    # Lets AQE hash instead of sort where every partition of a side is this small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -1,5 +1,5 @@
 """No streaming operators: the engine's scope has no watermark, window or state.
 
 The row-wise expressions in ``corpusloom.functions`` and ``operators.prompts`` work
-unchanged on a streaming DataFrame; ``tests/test_streaming.py`` shows it.
+unchanged on a streaming DataFrame; ``tests/test_sources.py`` shows it.
 """
