@@ -233,7 +233,7 @@ def backward(lines: DataFrame, model: Model, limit: int = BROADCAST_LIMIT) -> Da
 
 
 def posterior(lines: DataFrame, model: Model, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """``(keys, pos, token_id, gamma)``: state probabilities of every position."""
+    """``(keys, pos, gamma)``: state probabilities of every position."""
     a, pi, k = model.a, model.pi, model.states
 
     def compute(layout, e):

@@ -15,11 +15,11 @@ def _sorted_table(df: DataFrame, order: list) -> DataFrame:
     ``monotonically_increasing_id`` is (partition << 33) + row, and the range partitions
     are in order, so both numbers come without another shuffle. The range split uses the
     whole order, so a hot leading value spreads over several partitions. Writing fixes
-    the partition numbers before anything is derived from them.
+    the partition numbers before anything is derived from them. AQE may merge small
+    neighbouring ranges, which keeps their order.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = (
-        df.repartitionByRange(parts, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
     )

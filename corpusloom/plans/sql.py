@@ -90,7 +90,7 @@ CLEANED = f"""{CORPUS}, cleaned AS (
     {clean_title('title')} AS title FROM corpus)"""
 
 LINES = f"""lines AS (
-  SELECT doc_id AS id, unnest(range(len(parts))) AS line_no, unnest(parts) AS line
+  SELECT doc_id AS id, unnest(range(len(parts)))::INT AS line_no, unnest(parts) AS line
   FROM (SELECT doc_id, string_split(text, {NL}) AS parts FROM documents))"""
 
 TRAINING = f"""{LINES}, training AS (
