@@ -81,7 +81,7 @@ def posterior(alpha, beta):
     return gamma / _nonzero(gamma.sum(axis=1))[:, None]
 
 
-def expected_transitions(layout: Layout, e, a, alpha, beta, scale, weight=None):
+def expected_transitions(layout: Layout, e, a, alpha, beta, scale):
     """Posterior transition counts summed over the positions of the batch."""
     if len(layout.active) < 2:
         return np.zeros_like(a)

@@ -312,46 +312,28 @@ def safe_emission(t):
     return found.withColumn("p", F.round("p", 9))
 
 
-# Best paths: each state's running score with the path that reaches it, then the better
-# of the K extensions. The fold keeps back pointers and walks them afterwards.
-def viterbi_sql(es: str, source: str, matrix: str) -> str:
-    """``best(keys, score, states)`` from ``source`` with lists ``es`` of log vectors.
-
-    The running list is the K scores followed by K back pointers per position.
-    """
+def viterbi_sql(es: str, matrix: str) -> str:
+    """The K scores of the best paths through the log vectors ``es``, by last state."""
     option = f"list_transform({matrix}, lambda c: list_transform(c, lambda p, i: acc[i] + p))"
     step = (
-        f"list_transform([{option}], lambda o: list_concat("
-        f"list_transform(o, lambda s, j: list_max(s) + e[j]), acc[{K + 1}:], "
-        f"list_transform(o, lambda s: (list_position(s, list_max(s)) - 1)::DOUBLE)))[1]"
+        f"list_transform([{option}], lambda o: "
+        f"list_transform(o, lambda s, j: list_max(s) + e[j]))[1]"
     )
-    first = f"list_concat(list_transform(lpi, lambda p, j: p + {es}[1][j]), []::DOUBLE[])"
+    first = f"list_transform(lpi, lambda p, j: p + {es}[1][j])"
     return f"list_reduce({es}[2:], lambda acc, e: {step}, {first})"
 
 
 LOGS = f"""log_cols AS (SELECT list(c ORDER BY j) AS lat FROM
     (SELECT j, list(ln(p) ORDER BY i) AS c FROM m_a GROUP BY j)),
-  log_rows AS (SELECT list(c ORDER BY i) AS la FROM
-    (SELECT i, list(ln(p) ORDER BY j) AS c FROM m_a GROUP BY i)),
   log_start AS (SELECT list(ln(p) ORDER BY state) AS lpi FROM m_pi),
   log_es AS MATERIALIZED (SELECT id, line_no,
     list_transform(es, lambda v: list_transform(v, lambda p: ln(p))) AS les FROM line_es)"""
 
 
-def best_path(matrix: str, source: str) -> str:
-    """Back pointers read from the end: ``states`` is the path, last state first."""
-    last = f"(list_position(f[1:{K}], list_max(f[1:{K}])) - 1)::DOUBLE"
-    back = (
-        f"list_reduce(list_reverse(range(n - 1)), lambda acc, t: "
-        f"list_concat([f[{K + 1} + t::BIGINT * {K} + acc[1]::BIGINT]], acc), [{last}])"
-    )
-    return back
-
-
 @query(
     "hmm_viterbi",
     f"""WITH {VECTORS}, {LOGS}, folded AS MATERIALIZED (
-      SELECT id, line_no, len(les) AS n, {viterbi_sql('les', 'log_es', 'lat')} AS f
+      SELECT id, line_no, len(les) AS n, {viterbi_sql('les', 'lat')} AS f
       FROM log_es, log_cols, log_start)
       SELECT id, line_no, round(list_max(f[1:{K}]) / n, 9) AS score,
         (list_position(f[1:{K}], list_max(f[1:{K}])) - 1)::INT AS last_state FROM folded""",
@@ -427,7 +409,7 @@ PREDICTED = 16
           FROM (SELECT item_id, {sql.runs('text', newline=False)} AS w FROM benchmark))
         LEFT JOIN e USING (token), unseen GROUP BY id),
       ends AS MATERIALIZED (SELECT id, list_position(f[1:{K}], list_max(f[1:{K}])) - 1 AS state
-        FROM (SELECT id, {viterbi_sql('les', 'prompt_es', 'lat')} AS f
+        FROM (SELECT id, {viterbi_sql('les', 'lat')} AS f
           FROM prompt_es, log_cols, log_start)),
       walk AS (
         SELECT id, 0 AS pos, {picked('c', sql.uniform('id', "'move'", 0))} AS state
