@@ -19,7 +19,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +34,7 @@ TEST_BYTES = 32 << 20
 class Tests:
     """Distinct windows of a block of test texts, as numbers of a vocabulary from 1."""
 
-    vocabulary: pa.Array
+    vocabulary: dict[bytes, int]
     windows: np.ndarray  # one row each, padded with zeros
     lengths: np.ndarray
     owners: list[np.ndarray]  # (item, first word) rows of each window
@@ -46,6 +45,7 @@ def build_tests(ids: list[str], texts: pa.Array, window: int) -> Tests:
     words = Words(*text_bytes(texts), ALNUM, LOWER)
     codes, vocabulary = words.codes()
     codes = codes.astype(np.int64) + 1
+    numbers = {word: n for n, word in enumerate(vocabulary, 1)}
     found: dict[tuple, list[tuple[int, int]]] = {}
     for item in range(len(ids)):
         own = codes[words.first[item] : words.first[item + 1]].tolist()
@@ -56,7 +56,7 @@ def build_tests(ids: list[str], texts: pa.Array, window: int) -> Tests:
     table = np.zeros((len(found), window), dtype=np.int64)
     for row, w in enumerate(found):
         table[row, : len(w)] = w
-    return Tests(vocabulary, table, lengths, [np.array(o) for o in found.values()], ids)
+    return Tests(numbers, table, lengths, [np.array(o) for o in found.values()], ids)
 
 
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
@@ -139,8 +139,8 @@ def match(table: pa.Table, text: str, tests: Tests) -> Matches:
     depth = tests.windows.shape[1]
     texts = table.num_rows
     code, distinct = words.codes()
-    known = pc.index_in(distinct, value_set=tests.vocabulary).fill_null(-1)
-    code = (known.to_numpy(zero_copy_only=False).astype(np.int64) + 1)[code]
+    number = (tests.vocabulary.get(word, 0) for word in distinct)
+    code = np.fromiter(number, dtype=np.int64, count=len(distinct))[code]
     text_of = np.repeat(np.arange(texts), words.counts)
     place = np.arange(len(words)) + text_of
     codes = np.zeros(len(words) + texts + depth, dtype=np.int64)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontamination, simhash
+from corpusloom.llm import decontamination, packing, simhash
 from corpusloom.llm.store import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,8 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))

@@ -100,16 +100,24 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
-    def codes(self) -> tuple[np.ndarray, pa.Array]:
+    def codes(self) -> tuple[np.ndarray, list[bytes]]:
         """A number for each word and the distinct words in the order of the numbers."""
-        offsets = np.zeros(len(self) + 1, dtype=np.int64)
-        np.cumsum(self.ends - self.starts, out=offsets[1:])
-        flat = np.ascontiguousarray(self.data[self._inside])
-        values = pa.Array.from_buffers(
-            pa.large_binary(), len(self), [None, pa.py_buffer(offsets), pa.py_buffer(flat)]
-        )
-        coded = values.dictionary_encode()
-        return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+        return number_pieces(self.data[self._inside], self.ends - self.starts)
+
+
+def number_pieces(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Numbers equal pieces of ``flat`` alike; the distinct pieces by number."""
+    offsets = np.zeros(len(lengths) + 1, dtype=np.int64)
+    np.cumsum(lengths, out=offsets[1:])
+    values = pa.Array.from_buffers(
+        pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(flat)]
+    )
+    coded = values.dictionary_encode()
+    distinct = coded.dictionary
+    ends = np.frombuffer(distinct.buffers()[1], dtype=np.int64)[: len(distinct) + 1].tolist()
+    raw = distinct.buffers()[2].to_pybytes() if len(distinct) else b""
+    pieces = [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+    return coded.indices.to_numpy(zero_copy_only=False), pieces
 
 
 def mix(value: np.ndarray) -> np.ndarray:
