@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontamination, packing, simhash
+from corpusloom.llm import decontamination, lines, packing, simhash
 from corpusloom.llm.store import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +65,35 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    cleaned = lines.drop_site_lines(docs, dropped_column="n_dropped")
+    return cleaned.select("doc_id", "text", "n_dropped", F.length("text").alias("n_chars"))
+
+
+SQL["op8_line_dedup"] = """
+WITH pages AS (SELECT DISTINCT source, text FROM documents),
+total AS (SELECT source, count(*) AS total FROM pages GROUP BY source),
+site AS (
+  SELECT source, line, count(*) AS pages
+  FROM (SELECT DISTINCT source, text, trim(line, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) AS line
+        FROM pages, unnest(string_split(text, chr(10))) AS t(line))
+  WHERE line <> '' GROUP BY source, line),
+bad AS (SELECT s.source, s.line FROM site s JOIN total t ON s.source IS NOT DISTINCT FROM t.source
+        WHERE s.pages >= 5 AND s.pages > 0.01 * t.total),
+parts AS (
+  SELECT doc_id, source, k, line, trim(line, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) AS bare
+  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents)),
+marked AS (SELECT p.*, b.line IS NOT NULL AS gone FROM parts p LEFT JOIN bad b
+           ON p.bare = b.line AND p.source IS NOT DISTINCT FROM b.source),
+back AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '') AS text,
+                count(*) FILTER (gone) AS n_dropped FROM marked GROUP BY doc_id)
+SELECT doc_id, text, CAST(n_dropped AS BIGINT) AS n_dropped, CAST(length(text) AS INTEGER) AS n_chars FROM back
+"""
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
