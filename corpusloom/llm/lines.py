@@ -84,11 +84,14 @@ def drop_site_lines(
         & (F.col(host).isNull() == F.col("_no_site")),
         "left",
     )
+    # Computed once, and only on hosts with such lines; null where nothing changes.
+    staged = joined.withColumn("_left", F.when(F.size(known) > 0, left))
     values = {c: F.col(c) for c in docs.columns}
-    values[text] = F.when(F.size(known) == 0, F.col(text)).otherwise(F.array_join(left, "\n"))
+    values[text] = F.coalesce(F.array_join("_left", "\n"), F.col(text))
     if count_column:
         values[count_column] = F.length(values[text]).cast(docs.schema[count_column].dataType)
     if dropped_column:
-        gone = F.when(F.size(known) == 0, 0).otherwise(F.size(lines) - F.size(left))
-        values[dropped_column] = F.coalesce(gone, F.lit(0)).cast("bigint")
-    return joined.select(*[value.alias(name) for name, value in values.items()])
+        gone = F.size(lines) - F.size("_left")
+        gone = F.when(F.col("_left").isNull(), 0).otherwise(gone)
+        values[dropped_column] = gone.cast("bigint")
+    return staged.select(*[value.alias(name) for name, value in values.items()])

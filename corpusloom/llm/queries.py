@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontamination, lines, packing, simhash
-from corpusloom.llm.store import read
+from corpusloom.llm import decontamination, lines, packing, simhash, toxicity
+from corpusloom.llm.store import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -94,6 +94,23 @@ SELECT doc_id, text, CAST(n_dropped AS BIGINT) AS n_dropped, CAST(length(text) A
 """
 
 
+def _judged(scored: DataFrame, parts: int, part: int) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        held_out("doc_id", parts, part).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs, labels.filter(~held_out("doc_id", 5, 0)))
+    return _judged(toxicity.score(docs, model), 5, 0)
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
