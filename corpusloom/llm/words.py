@@ -24,6 +24,7 @@ VISIBLE = np.ones(256, dtype=bool)
 VISIBLE[[32, 9, 10, 11, 12, 13]] = False
 
 BLOCK_BYTES = 4 << 20
+BLOCK_ROWS = 100_000
 
 
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -44,11 +45,11 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
 def blocks(
     batches: Iterator[pa.RecordBatch], text: str, size: int = BLOCK_BYTES
 ) -> Iterator[pa.Table]:
-    """The rows of all batches in tables of about ``size`` bytes of text each.
+    """The rows of all batches in tables of about ``size`` bytes of text each at most.
 
     Small batches are put together and large ones cut, always between rows.
     """
-    kept, held = [], 0
+    kept, held, rows = [], 0, 0
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -58,14 +59,16 @@ def blocks(
         while start < table.num_rows:
             room = begins[start] + size - held
             stop = max(int(np.searchsorted(begins, room, side="right")) - 1, start)
+            stop = min(stop, start + BLOCK_ROWS - rows)
             if stop == start and held == 0:
                 stop = start + 1
             if stop > start:
                 kept.append(table.slice(start, stop - start))
                 held += int(begins[stop] - begins[start])
-            if stop < table.num_rows or held >= size:
+                rows += stop - start
+            if stop < table.num_rows or held >= size or rows >= BLOCK_ROWS:
                 yield pa.concat_tables(kept)
-                kept, held = [], 0
+                kept, held, rows = [], 0, 0
             start = stop
     if kept:
         yield pa.concat_tables(kept)
