@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontamination, lines, packing, simhash, toxicity
+from corpusloom.llm import decontamination, lines, packing, quality_rules, secrets, simhash, toxicity
 from corpusloom.llm.store import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,109 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.apply_rules(docs).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_SHORT_WORDS = ", ".join(f"'{word}'" for word in quality_rules.STOP_WORDS)
+
+SQL["op6_quality_rules"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+             regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+             list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, {_BLANKS}) <> '') AS l
+           FROM documents),
+g AS (SELECT doc_id, i, list_slice(w, i, i + 2) AS g FROM d, unnest(range(1, len(w) - 1)) AS t(i) WHERE len(w) > 2),
+again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g) WHERE n > 1),
+rep AS (SELECT doc_id, count(DISTINCT k) AS n FROM again, unnest([i, i + 1, i + 2]) AS t(k) GROUP BY doc_id),
+m AS (SELECT doc_id, len(w) AS n_words, length(translate(t, {_BLANKS}, '')) AS word_chars,
+        length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+        len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
+        len(list_filter(w, lambda x: lower(trim(x, '.,;:!?()"''')) IN ({_SHORT_WORDS}))) AS n_stop,
+        len(list_filter(w, lambda x: ends_with(x, '!!'))) AS n_bang
+      FROM d LEFT JOIN rep USING (doc_id)),
+v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  NOT base_failed AND word_chars BETWEEN 2 * n_words AND 14 * n_words AND n_symbols * 20 <= word_chars
+  AND n_symbols * 4 <= n_words AND n_stop * 100 >= n_words AND n_bang * 5 <= n_words
+  AND n_dup_lines * 2 <= n_lines AND n_words >= 2 * n_lines AS kept
+FROM v
+"""
+
+
+@query
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["rank"] < 3)
+
+    def count(kind: str):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(secrets.written_out(base), 256).alias("base_sha256"),
+        secrets.written_out(F.col("secrets")).alias("spans"),
+    )
+
+
+_ASSIGN = r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+)"""
+_VALUE = r"""^[A-Za-z_]+["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$"""
+
+
+def _sql_spans(kind: str, rank: int, pattern: str, where: str) -> str:
+    return f"""SELECT doc_id, '{kind}' AS kind, {rank} AS r, s, s + length(m) AS e, m FROM (
+      SELECT doc_id, m, CAST(sum(length(p) + coalesce(lag, 0)) OVER (PARTITION BY doc_id ORDER BY k) AS BIGINT) AS s
+      FROM (SELECT doc_id, k, ms[k] AS m, ps[k] AS p, length(ms[k - 1]) AS lag
+            FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS ms,
+                         regexp_split_to_array(t, '{pattern}') AS ps FROM d),
+                 unnest(range(1, len(ms) + 1)) AS u(k))) WHERE {where}"""
+
+
+SQL["op4_secrets"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+base AS (
+  {_sql_spans("assign", 0, _ASSIGN, f"length(regexp_extract(m, '{_VALUE}', 1)) >= 6")}
+  UNION ALL {_sql_spans("access", 1, "AKIA[A-Z0-9]+", "length(m) >= 20")}
+  UNION ALL {_sql_spans("hex", 2, "[0-9a-f]+", "length(m) >= 24")}),
+cand AS ({_sql_spans("entropy", 3, "[A-Za-z0-9+/_=-]+", "length(m) >= 20")}),
+outside AS (SELECT c.* FROM cand c WHERE NOT EXISTS (
+  SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.s <= c.s AND c.e <= b.e)),
+open AS (SELECT * FROM outside WHERE NOT (
+  regexp_matches(m, '^[A-Za-z]+$') OR regexp_matches(m, '^[0-9_+/=-]+$')
+  OR regexp_matches(m, '^[A-Za-z]+([-_/+=]+[A-Za-z]+)*[-_/+=]*$')
+  OR regexp_matches(m, '^[A-Za-z]+([-_/][A-Za-z0-9]{{1,8}}){{2,}}$')
+  OR regexp_matches(m, '^[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}$')
+  OR regexp_matches(lower(m), 'example|sample|dummy|placeholder|changeme|redacted')
+  OR len(list_filter(range(1, length(m) - 6), lambda i: m[i:i + 7] = repeat(m[i], 8))) > 0
+  OR regexp_matches(m, '0123456789|abcdefghij|ABCDEFGHIJ'))),
+dense AS (SELECT doc_id, kind, r, s, e FROM open WHERE list_max(list_transform(range(1, length(m) - 18),
+    lambda i: list_entropy(string_split(m[i:i + 19], '')))) >= CASE
+      WHEN regexp_matches(m, '^[0-9a-f]+$|^[0-9A-F]+$') THEN 2.9
+      WHEN regexp_matches(m, '^[A-Za-z0-9]+$') THEN 3.5 ELSE 3.6 END),
+spans AS (SELECT doc_id, kind, r, s, e FROM base UNION ALL SELECT * FROM dense),
+out AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+  count(*) FILTER (kind = 'hex') AS n_hex,
+  string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, r) FILTER (r < 3) AS base,
+  string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, r) AS spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN out ON d.doc_id = out.doc_id
+"""
