@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontamination, lines, packing, quality_rules, secrets, simhash, toxicity
+from corpusloom.llm import (
+    decontamination,
+    lines,
+    packing,
+    quality_model,
+    quality_rules,
+    secrets,
+    simhash,
+    toxicity,
+)
 from corpusloom.llm.store import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -220,3 +229,11 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN out ON d.doc_id = out.doc_id
 """
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality_model.train(docs, labels.filter(~held_out("doc_id", 3, 1)))
+    return _judged(quality_model.score(docs, model), 3, 1)
