@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import (
     decontamination,
+    html,
     lines,
     packing,
     quality_model,
@@ -237,3 +238,9 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read(spark, sf_dir, "labels").select("doc_id", "quality")
     model = quality_model.train(docs, labels.filter(~held_out("doc_id", 3, 1)))
     return _judged(quality_model.score(docs, model), 3, 1)
+
+
+@query
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = html.main_text(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return text.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
