@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm import (
     decontamination,
     html,
+    licenses,
     lines,
     packing,
     quality_model,
@@ -244,3 +245,20 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = html.main_text(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return text.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+@query
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan(docs, licenses.train(docs))
+    families = F.array_sort(F.array_distinct(F.col("licenses.family")))
+    spans = F.transform(
+        "licenses", lambda s: F.concat_ws(":", s["family"], s["start"], s["end"])
+    )
+    return found.select(
+        "doc_id",
+        F.size("licenses").cast("bigint").alias("n_notices"),
+        F.array_join(families, ",").alias("families"),
+        F.array_join(spans, ",").alias("spans"),
+        F.round(F.array_max(F.col("licenses.probability")), 4).alias("probability"),
+    )
