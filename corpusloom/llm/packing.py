@@ -68,7 +68,7 @@ class Encoder:
     apostrophe or any other character goes through the whole tokenizer.
     """
 
-    def __init__(self, path: str | None = None, limit: int = 250_000):
+    def __init__(self, path: str | None = None, limit: int = 150_000):
         from tokenizers import Tokenizer
 
         if path is None:
@@ -145,6 +145,11 @@ class Encoder:
         return flat[at], after[np.searchsorted(starts, begins)]
 
 
+    def forget(self) -> None:
+        """Gives back the memory of what was remembered."""
+        self.young, self.old = {}, {}
+
+
 _encoders: dict[str | None, Encoder] = {}
 
 
@@ -293,6 +298,7 @@ def pack(
                     for window in packer.place((row, whole, own[whole:].copy())):
                         emit(window)
             yield out(key_type)
+        coder.forget()
         if key_type is not None:
             for window in packer.close():
                 emit(window)

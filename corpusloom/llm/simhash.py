@@ -271,6 +271,8 @@ def _grouped(prints: DataFrame, one: DataFrame, edges: DataFrame, node: str, key
 BAND_BITS, BANDS = 40, 5
 #: Words of 64 bits of the sketch that pairs are verified on.
 SKETCH = 8
+#: Bytes of text that are sketched at a time.
+SKETCH_BLOCK = 2 << 20
 
 
 def _seeded(hashes: np.ndarray, seed: int) -> np.ndarray:
@@ -294,7 +296,7 @@ def sketches(docs: DataFrame, key: str, text: str, shingle: int = 5) -> DataFram
         return at << np.uint64(24), counts
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in blocks(batches, "text"):
+        for table in blocks(batches, "text", SKETCH_BLOCK):
             rows = table.num_rows
             words = Words(*text_bytes(table["text"]), VISIBLE, LOWER)
             codes, distinct = words.codes()

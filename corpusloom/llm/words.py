@@ -72,6 +72,9 @@ def blocks(
             start = stop
     if kept:
         yield pa.concat_tables(kept)
+    # Workers live on after the task; what it needed should not.
+    del kept
+    pa.default_memory_pool().release_unused()
 
 
 class Words:
