@@ -12,15 +12,23 @@ def uniform(seed: int, *keys) -> Column:
     """A number in (0, 1) that depends only on ``seed`` and ``keys``.
 
     52 bits of md5, so a recomputed task draws the same number and an independent SQL
-    engine can reproduce it.
+    engine can reproduce it. Different keys never share their text: bars and backslashes
+    inside one are escaped, and null has a text of its own.
     """
-    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k) if isinstance(k, str) else k for k in keys])
+    columns = [_escaped(F.col(k) if isinstance(k, str) else k) for k in keys]
+    text = F.concat_ws("|", F.lit(str(seed)), *columns)
     bits = F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("bigint")
     return (bits.cast("double") + 0.5) / float(2**52)
 
 
+def _escaped(key: Column) -> Column:
+    text = F.replace(key.cast("string"), F.lit("\\"), F.lit("\\\\"))
+    return F.coalesce(F.replace(text, F.lit("|"), F.lit("\\|")), F.lit("\\N"))
+
+
 def uniform_value(seed: int, *keys) -> float:
     """The same number for plain Python values."""
-    text = "|".join(str(k) for k in (seed, *keys))
+    parts = ["\\N" if k is None else str(k).replace("\\", "\\\\").replace("|", "\\|") for k in keys]
+    text = "|".join([str(seed), *parts])
     bits = int(hashlib.md5(text.encode()).hexdigest()[:13], 16)
     return (bits + 0.5) / 2**52

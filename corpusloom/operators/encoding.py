@@ -47,7 +47,8 @@ def _place(df: DataFrame, position: list[str]) -> Column:
     """
     text_id, *within = position
     kinds = dict(df.dtypes)
-    if kinds[text_id] not in ("int", "bigint") or any(kinds[c] != "int" for c in within):
+    numbers = kinds[text_id] in ("int", "bigint") and all(kinds[c] == "int" for c in within)
+    if not numbers or len(within) > 2:
         return F.struct(*position)
     place = F.lit(0).cast("bigint")
     for column in within:
@@ -155,11 +156,18 @@ def _join_and_regroup(
     vocab: DataFrame,
     unknown_id: int | None,
 ) -> DataFrame:
-    """All columns through one explode, one vocabulary join and one regrouping."""
-    parts = [_numbered(name, column) for name, column in tokens.items()]
-    rows = df.select(*keys, F.inline_outer(F.concat(*parts)))
+    """All columns through one explode, one vocabulary join and one regrouping.
+
+    A row number keeps rows apart whose keys are equal or null. It is written, so that it
+    stays the same when a lost task runs again.
+    """
+    split = df.select(*keys, *[column.alias(name) for name, column in tokens.items()])
+    numbered = materialise(split.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    none = F.array().cast("array<struct<part:string,pos:int,token:string>>")
+    parts = [F.coalesce(_numbered(name, F.col(name)), none) for name in tokens]
+    rows = numbered.select("_row", *keys, F.inline_outer(F.concat(*parts)))
     encoded = encode_rows(rows, vocab, unknown_id)
-    return encoded.groupBy(*keys).agg(
+    grouped = encoded.groupBy("_row", *keys).agg(
         *[
             F.sort_array(
                 F.collect_list(F.when(F.col("part") == name, F.struct("pos", "token_id")))
@@ -167,6 +175,7 @@ def _join_and_regroup(
             for name in tokens
         ]
     )
+    return grouped.drop("_row")
 
 
 def _numbered(part: str, tokens: Column) -> Column:
@@ -179,8 +188,10 @@ def _numbered(part: str, tokens: Column) -> Column:
 
 
 def decode_rows(id_rows: DataFrame, vocab: DataFrame, keys: list[str], sep: str = "") -> DataFrame:
-    """Rows ``(keys, pos, token_id)`` back to one ``text`` per key."""
-    named = id_rows.join(vocab.select("token_id", "token"), "token_id")
+    """Rows ``(keys, pos, token_id)`` back to one ``text`` per key; an id outside the
+    vocabulary reads ``<unk>``."""
+    named = id_rows.join(vocab.select("token_id", "token"), "token_id", "left")
+    named = named.withColumn("token", F.coalesce("token", F.lit(UNKNOWN)))
     joined = collect_ordered(named, keys, "pos", "token", "tokens")
     return joined.select(*keys, F.array_join("tokens", sep).alias("text"))
 
@@ -275,11 +286,6 @@ def lm_windows(
     if length <= block_size:
         raise ValueError("the stream must be longer than a window")
     width = block_size + 1
-    blocks = (
-        stream.withColumn("block", F.floor(F.col("pos") / width))
-        .groupBy("block")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "token_id")))["token_id"].alias("ids"))
-    )
     start = F.floor(uniform(seed, "window_id") * float(length - block_size))
     wanted = (
         stream.sparkSession.range(windows)
@@ -291,6 +297,13 @@ def lm_windows(
             "block", F.explode(F.array_distinct(F.array("first_block", "last_block")))
         )
     )
+    # Only blocks that a window needs are put together.
+    blocks = (
+        stream.withColumn("block", F.floor(F.col("pos") / width))
+        .join(wanted.select("block").distinct(), "block", "left_semi")
+        .groupBy("block")
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "token_id")))["token_id"].alias("ids"))
+    )
     tokens = F.flatten(F.sort_array(F.collect_list(F.struct("block", "ids")))["ids"])
     offset = (F.col("start") - F.col("first_block") * width).cast("int")
     return (

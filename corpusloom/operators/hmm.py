@@ -21,7 +21,7 @@ from corpusloom.functions.det import uniform, uniform_value
 from corpusloom.functions.text import normalise_line
 from corpusloom.operators import hmm_kernel as kernel
 from corpusloom.operators.encoding import build_vocab, encode_texts
-from corpusloom.operators.walks import advance, weighted_transitions
+from corpusloom.operators.walks import advance, weighted_transitions, with_rests
 from corpusloom.session import materialise
 
 # The recursions travel to the tasks with the job, so executors need no installation.
@@ -44,6 +44,8 @@ class Model:
     b: DataFrame
     vocab: DataFrame
     vocab_size: int
+    #: probability of a token that the vocabulary does not have, in every state
+    unseen: float = 0.0
 
     @property
     def states(self) -> int:
@@ -115,6 +117,12 @@ def _normalise_columns(raw: DataFrame, states: int) -> tuple[DataFrame, int]:
     return raw.select("token_id", *columns), totals["size"]
 
 
+def with_unseen(model: Model, share: float) -> Model:
+    """The model with ``share`` of every state's mass for tokens it has not seen."""
+    scaled = [(F.col(c) * (1 - share)).alias(c) for c in model.emission_columns()]
+    return replace(model, b=model.b.select("token_id", *scaled), unseen=share)
+
+
 def normalize(df: DataFrame, key: list[str], value: str) -> DataFrame:
     """Divide ``value`` by its sum within ``key``, unless that is zero."""
     totals = df.groupBy(*key).agg(F.sum(value).alias("_total"))
@@ -156,23 +164,35 @@ def _with_emissions(lines: DataFrame, model: Model, limit: int):
     columns = model.emission_columns()
     if model.vocab_size * model.states * 8 <= limit:
         table = np.zeros((model.vocab_size + 1, model.states))
+        table[-1] = model.unseen
         rows = model.b.select("token_id", *columns).toPandas()
         table[rows["token_id"].to_numpy()] = rows[columns].to_numpy()
         shared = lines.sparkSession.sparkContext.broadcast(table)
-        # Row -1, the last one, stays zero for unseen tokens.
+        # Row -1, the last one, is for unseen tokens.
         return lines, lambda batch, ids: shared.value[ids]
 
+    # A number of its own keeps lines apart whose keys are equal, null or missing; it is
+    # written, so that it stays the same when a lost task runs again.
     keys = [c for c in lines.columns if c != "ids"]
-    rows = lines.select(*keys, F.posexplode("ids").alias("pos", "token_id"))
+    numbered = materialise(lines.withColumn("_line", F.monotonically_increasing_id()), "numbered")
+    rows = numbered.select("_line", *keys, F.posexplode("ids").alias("pos", "token_id"))
     rows = rows.join(model.b, "token_id", "left").select(
+        "_line",
         *keys,
         "pos",
         "token_id",
-        F.array(*[F.coalesce(c, F.lit(0.0)) for c in columns]).alias("e"),
+        F.array(
+            *[
+                F.when(F.col("token_id") < 0, F.lit(float(model.unseen))).otherwise(
+                    F.coalesce(c, F.lit(0.0))
+                )
+                for c in columns
+            ]
+        ).alias("e"),
     )
     entries = F.sort_array(F.collect_list(F.struct("pos", "token_id", "e")))
     joined = (
-        rows.groupBy(*keys)
+        rows.groupBy("_line", *keys)
         .agg(entries.alias("entries"))
         .select(*keys, F.col("entries.token_id").alias("ids"), F.flatten("entries.e").alias("e"))
     )
@@ -185,7 +205,7 @@ def _per_line(lines: DataFrame, model: Model, schema: str, compute, limit: int)
     lines = lines.filter(F.size("ids") > 0)
     keys = [c for c in lines.columns if c != "ids"]
     lines, emissions = _with_emissions(lines, model, limit)
-    key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lines.select(*keys).schema)
+    key_schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in lines.schema if f.name in keys]
 
     def run(batches):
         for batch in kernel.cut_batches(batches, BATCH_TOKENS):
@@ -196,7 +216,7 @@ def _per_line(lines: DataFrame, model: Model, schema: str, compute, limit: int)
             added = compute(layout, e)
             yield pa.RecordBatch.from_arrays(kept + list(added.values()), keys + list(added))
 
-    return lines.mapInArrow(run, f"{key_schema}, {schema}")
+    return lines.mapInArrow(run, ", ".join([*key_schema, schema]))
 
 
 def forward(lines: DataFrame, model: Model, limit: int = BROADCAST_LIMIT) -> DataFrame:
@@ -265,14 +285,18 @@ def viterbi(
 ) -> DataFrame:
     """``(keys, path, score)``: best state sequence and its log probability.
 
-    ``compat`` reads the transition matrix transposed.
+    ``compat`` reads the transition matrix transposed. Logarithms are rounded to twelve
+    decimals, so that paths of equal probability tie alike wherever they are computed.
     """
-    with np.errstate(divide="ignore"):
-        log_a, log_pi = np.log(model.a.T if compat else model.a), np.log(model.pi)
 
-    def compute(layout, e):
+    def log(p):
         with np.errstate(divide="ignore"):
-            path, score = kernel.viterbi(layout, np.log(e), log_a, log_pi)
+            return np.round(np.log(p), 12)
+
+    log_a, log_pi = log(model.a.T if compat else model.a), log(model.pi)
+
+    def compute(layout, e):
+        path, score = kernel.viterbi(layout, log(e), log_a, log_pi)
         return {"path": kernel.list_column(layout.lengths, layout.gather(path)), "score": pa.array(score)}
 
     return _per_line(lines, model, "path array<int>, score double", compute, limit)
@@ -368,17 +392,17 @@ def close_to(new: Column, old: Column) -> Column:
 
 def converged(new: Model, old: Model) -> bool:
     """Whether every parameter is within tolerance of its old value."""
-    if not (np.allclose(new.a, old.a) and np.allclose(new.pi, old.pi)):
-        return False
-    return converged_emissions(new, old).first()["converged"]
+    return converged_tables(new, old).first()["converged"]
 
 
-def converged_emissions(new: Model, old: Model) -> DataFrame:
+def converged_tables(new: Model, old: Model) -> DataFrame:
+    """One row, ``converged``: whether start, moves and emissions all are within tolerance."""
+    small = bool(np.allclose(new.a, old.a) and np.allclose(new.pi, old.pi))
     columns = new.emission_columns()
     before = old.b.select("token_id", *[F.col(c).alias(f"old_{c}") for c in columns])
     checks = [close_to(F.col(c), F.col(f"old_{c}")) for c in columns]
     return new.b.join(before, "token_id").agg(
-        F.bool_and(F.array_min(F.array(*checks))).alias("converged")
+        (F.bool_and(F.array_min(F.array(*checks))) & F.lit(small)).alias("converged")
     )
 
 
@@ -436,7 +460,7 @@ def _emit(states: DataFrame, keys: list[str], model: Model, seed: int) -> DataFr
     table = weighted_transitions(emission_rows(model), ["state"], "token", "p")
     walkers = states.join(table.contexts, "state")
     drawn = advance(
-        walkers, table.last(), [*keys, "pos"], -1, seed, True, {"token": F.col("out")}
+        walkers, with_rests(table.last()), [*keys, "pos"], -1, seed, True, {"token": F.col("out")}
     )
     return drawn.select(*keys, "pos", "state", "token")
 

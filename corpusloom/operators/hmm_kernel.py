@@ -93,7 +93,11 @@ def expected_transitions(layout: Layout, e, a, alpha, beta, scale):
 
 
 def viterbi(layout: Layout, log_e, log_a, log_pi):
-    """Best state of each position and the log score of each line, ties to the lowest."""
+    """Best state of each position and the log score of each line, ties to the lowest.
+
+    The emission counts in the choice of the state before: where no state emits a token
+    all options are as bad, and the lowest state is taken.
+    """
     score = np.empty_like(log_e)
     source = np.zeros(log_e.shape, dtype=np.int32)
     for t in layout.steps():
@@ -102,8 +106,9 @@ def viterbi(layout: Layout, log_e, log_a, log_pi):
             score[here] = log_pi + log_e[here]
             continue
         options = score[layout.before(t)][:, :, None] + log_a[None, :, :]
+        options = options + log_e[here][:, None, :]
         source[here] = options.argmax(axis=1)
-        score[here] = options.max(axis=1) + log_e[here]
+        score[here] = options.max(axis=1)
     path = np.empty(len(log_e), dtype=np.int32)
     final = np.empty(len(layout.lengths))
     state = np.zeros(len(layout.lengths), dtype=np.int64)

@@ -30,40 +30,38 @@ def _sorted_table(df: DataFrame, order: list) -> DataFrame:
     )
 
 
-def _offsets(per_part: list, parts: int) -> Column:
-    """Sum of all earlier partitions, looked up by ``_part`` (one number a partition)."""
-    before, total = [0] * parts, 0
-    sums = {r["_part"]: r["n"] for r in per_part}
-    for part in range(parts):
-        before[part] = total
-        total += sums.get(part, 0)
-    return F.get(F.lit(before).cast("array<bigint>"), F.col("_part").cast("int"))
+def _with_offsets(table: DataFrame, sums: dict[str, Column]) -> DataFrame:
+    """Add for each sum its value over all earlier partitions.
+
+    The sums make a table of one row per partition, which is joined back by ``_part``.
+    """
+    per_part = table.groupBy("_part").agg(*[c.alias(n) for n, c in sums.items()])
+    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    before = per_part.select(
+        "_part", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(n) for n in sums]
+    )
+    return table.join(before, "_part")
 
 
 def with_index(df: DataFrame, order: list, name: str = "idx") -> DataFrame:
     """Add the dense 0-based position of each row in ``order`` (a total order)."""
     table = _sorted_table(df, order)
-    counts = table.groupBy("_part").agg(F.count("*").alias("n")).collect()
-    parts = 1 + max((r["_part"] for r in counts), default=0)
-    index = _offsets(counts, parts) + F.col("_row")
-    return table.withColumn(name, index).drop("_at", "_part", "_row")
+    placed = _with_offsets(table, {"_rows": F.count("*")})
+    index = F.col("_rows") + F.col("_row")
+    return placed.withColumn(name, index).drop("_at", "_part", "_row", "_rows")
 
 
 def with_running_total(df: DataFrame, order: list, value: str, name: str = "before") -> DataFrame:
     """Add the sum of the integer column ``value`` over all earlier rows, and ``idx``.
 
-    The window runs inside one sorted partition, never over the whole table.
+    The window runs inside one sorted partition, never over the whole table. Sums of
+    decimals stay exact far beyond a bigint.
     """
     table = _sorted_table(df, order)
-    sums = table.groupBy("_part").agg(
-        F.count("*").alias("rows"), F.sum(value).alias("total")
-    ).collect()
-    parts = 1 + max((r["_part"] for r in sums), default=0)
-    rows = _offsets([{"_part": r["_part"], "n": r["rows"]} for r in sums], parts)
-    total = _offsets([{"_part": r["_part"], "n": r["total"]} for r in sums], parts)
+    placed = _with_offsets(table, {"_rows": F.count("*"), "_total": F.sum(value)})
     here = W.partitionBy("_part").orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
     return (
-        table.withColumn("idx", rows + F.col("_row"))
-        .withColumn(name, total + F.coalesce(F.sum(value).over(here), F.lit(0)))
-        .drop("_at", "_part", "_row")
+        placed.withColumn("idx", F.col("_rows") + F.col("_row"))
+        .withColumn(name, F.col("_total") + F.coalesce(F.sum(value).over(here), F.lit(0)))
+        .drop("_at", "_part", "_row", "_rows", "_total")
     )

@@ -11,7 +11,7 @@ from corpusloom.functions import tokens as tk
 from corpusloom.functions.det import uniform
 from corpusloom.functions.text import strip
 from corpusloom.operators.splits import pick_with_replacement
-from corpusloom.operators.walks import advance, uniform_transitions
+from corpusloom.operators.walks import advance, few_walkers, uniform_transitions, with_rests
 from corpusloom.session import materialise
 
 # The end marker of a line and the number of steps after the second word.
@@ -136,12 +136,14 @@ class LineWriter:
             markov_argmax(chain2, ["w1", "w2"]).select("w1", "w2", "nxt"), ["w1", "w2"], "nxt"
         )
         self.first_words = second.contexts
-        self.second_table = second.leading_to(
-            later.contexts, {"w1": F.col("w1"), "w2": F.col("out")}
+        # Read at every step, so written once.
+        self.second_table = materialise(
+            with_rests(second.leading_to(later.contexts, {"w1": F.col("w1"), "w2": F.col("out")})),
+            "first-steps",
         )
-        # Read once per step, so written once.
         self.later_table = materialise(
-            later.leading_to(later.contexts, {"w1": F.col("w2"), "w2": F.col("out")}), "steps"
+            with_rests(later.leading_to(later.contexts, {"w1": F.col("w2"), "w2": F.col("out")})),
+            "steps",
         )
         self.end = end
         self.max_steps = max_steps
@@ -153,12 +155,15 @@ class LineWriter:
 
         Each step is one join on ``slot``, the plan has a fixed number of them, and the
         walkers of all lines are in it together. A finished walker waits with its line.
+        The walkers are written first, as their number decides how the steps join.
         """
         walkers = (
             starts.withColumn("w1", F.lower(word))
             .join(self.first_words, "w1")
             .select(*keys, F.array("w1").alias("words"), "start", "count")
         )
+        walkers = materialise(walkers, "walkers")
+        few = few_walkers(walkers)
         longer = F.concat("words", F.array("out"))
         walkers = advance(
             walkers,
@@ -168,6 +173,7 @@ class LineWriter:
             seed,
             weighted=False,
             update={"words": longer, "done": F.lit(False)},
+            few=few,
         )
         ended = F.col("out").eqNullSafe(self.end)
         update = {
@@ -177,7 +183,7 @@ class LineWriter:
         }
         for step in range(1, self.max_steps + 1):
             alive = walkers.filter(F.col("done") | F.col("start").isNotNull())
-            walkers = advance(alive, self.later_table, keys, step, seed, False, update)
+            walkers = advance(alive, self.later_table, keys, step, seed, False, update, few)
         return walkers.filter("done").select(*keys, F.array_join("words", " ").alias("line"))
 
     def write_play(

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 from fractions import Fraction
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.det import uniform
@@ -50,7 +51,9 @@ def split_rows_exact(
         .when(F.col("_idx") < n_test + n_valid, "valid")
         .otherwise("train")
     )
-    return df.join(placed.select(*keys, split.alias("split")), keys)
+    drawn_split = placed.select(*[F.col(k).alias(f"_{k}") for k in keys], split.alias("split"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return df.join(drawn_split, reduce(Column.__and__, same)).drop(*[f"_{k}" for k in keys])
 
 
 def split_select(df: DataFrame, name: str) -> DataFrame:

@@ -12,11 +12,19 @@ from corpusloom.operators.prompts import clean_corpus
 from corpusloom.plans import sql
 from corpusloom.plans.registry import query
 from corpusloom.session import new_table_path
+from corpusloom.sources.corpus import read_corpus
 
 
-@query("corpus_scan", f"WITH {sql.CORPUS} SELECT id, content, title, url, genre FROM corpus")
+@query(
+    "corpus_scan",
+    f"WITH {sql.CORPUS} SELECT id::VARCHAR AS id, content, title, url, genre FROM corpus",
+)
 def corpus_scan(t):
-    return t.corpus()
+    """The corpus as a file whose columns stand in another order, through the reader."""
+    path = new_table_path(t.spark, "corpus")
+    corpus = t.corpus().select("genre", "content", "url", "id", "title")
+    corpus.write.options(header="true", escape='"').csv(path)
+    return read_corpus(t.spark, path, "csv")
 
 
 @query(

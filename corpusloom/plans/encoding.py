@@ -12,7 +12,8 @@ from corpusloom.operators.markov import start_words
 from corpusloom.operators.prompts import Wording, build_prompts, clean_corpus
 from corpusloom.plans import sql
 from corpusloom.plans.registry import query
-from corpusloom.session import materialise
+from corpusloom.session import materialise, new_table_path
+from corpusloom.sources.corpus import read_token_stream, write_token_stream
 
 W = Wording()
 
@@ -345,7 +346,9 @@ def stream(t):
 
 @query("token_stream_scan", f"WITH {STREAM} SELECT pos, token_id FROM stream")
 def token_stream_scan(t):
-    return stream(t)
+    path = new_table_path(t.spark, "stream")
+    write_token_stream(stream(t), path)
+    return read_token_stream(t.spark, path)
 
 
 @query(

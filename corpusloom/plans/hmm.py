@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators import hmm
@@ -9,6 +13,7 @@ from corpusloom.plans import sql
 from corpusloom.plans.encoding import LINE_VOCAB
 from corpusloom.plans.registry import query
 from corpusloom.session import materialise, new_table_path
+from corpusloom.sources.corpus import split_lines
 
 STATES = 8
 KEYS = ["id", "line_no"]
@@ -246,19 +251,42 @@ def hmm_em_step(t):
 
 @query(
     "hmm_converged",
-    f"""WITH {LINE_VOCAB}, {drawn('x', 42)}, {drawn('y', 43)}
-      SELECT bool_and(abs(x.p - y.p) <= 1e-8 + 1e-5 * abs(x.p)) AS converged
-      FROM x_b x JOIN y_b y USING (token, state)""",
+    f"""WITH {LINE_VOCAB}, {drawn('x', 42)}, {drawn('y', 43)},
+      b AS (SELECT x.p AS old, y.p AS other FROM x_b x JOIN y_b y USING (token, state)),
+      a AS (SELECT x.p AS old, y.p AS other FROM x_a x JOIN y_a y USING (i, j)),
+      pi AS (SELECT x.p AS old, y.p AS other FROM x_pi x JOIN y_pi y USING (state)),
+      tables AS (SELECT 'b' AS part, * FROM b UNION ALL SELECT 'a', * FROM a UNION ALL SELECT 'pi', * FROM pi),
+      cases AS (SELECT unnest(['other', 'near', 'other a', 'other pi', 'other b']) AS against)
+      SELECT against, bool_and(abs(new - old) <= 1e-8 + 1e-5 * abs(old)) AS converged
+      FROM (SELECT against, old, CASE WHEN against = 'other' OR against = 'other ' || part THEN other
+              WHEN against = 'near' THEN old * 1.000009 ELSE old END AS new
+            FROM tables, cases) GROUP BY against""",
 )
 def hmm_converged(t):
     words = vocab(t)
-    old, new = (hmm.init_model(words, STATES, seed) for seed in (42, 43))
-    return hmm.converged_emissions(new, old)
+    old, other = (hmm.init_model(words, STATES, seed) for seed in (42, 43))
+    near = [(F.col(c) * 1.000009).alias(c) for c in old.emission_columns()]
+    cases = {
+        "other": other,
+        "near": replace(
+            old, pi=old.pi * 1.000009, a=old.a * 1.000009, b=old.b.select("token_id", *near)
+        ),
+        "other a": replace(old, a=other.a),
+        "other pi": replace(old, pi=other.pi),
+        "other b": replace(old, b=other.b),
+    }
+    rows = [
+        hmm.converged_tables(new, old).select(F.lit(name).alias("against"), "converged")
+        for name, new in cases.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query("hmm_train")
 def hmm_train(t):
-    trained, _ = hmm.train(t.training_lines(), KEYS, states=STATES, max_iterations=3)
+    """Trained to the end: until converged, or for 50 iterations."""
+    lines = hmm.training_lines(split_lines(t.prompts(), "id", "text"))
+    trained, _ = hmm.train(lines, KEYS, states=STATES)
     return parameter_rows(trained)
 
 
@@ -324,27 +352,86 @@ def viterbi_sql(es: str, matrix: str) -> str:
 
 
 LOGS = f"""log_cols AS (SELECT list(c ORDER BY j) AS lat FROM
-    (SELECT j, list(ln(p) ORDER BY i) AS c FROM m_a GROUP BY j)),
-  log_start AS (SELECT list(ln(p) ORDER BY state) AS lpi FROM m_pi),
+    (SELECT j, list(round(ln(p), 12) ORDER BY i) AS c FROM m_a GROUP BY j)),
+  log_rows AS (SELECT list(r ORDER BY i) AS lrows FROM
+    (SELECT i, list(round(ln(p), 12) ORDER BY j) AS r FROM m_a GROUP BY i)),
+  log_start AS (SELECT list(round(ln(p), 12) ORDER BY state) AS lpi FROM m_pi),
   log_es AS MATERIALIZED (SELECT id, line_no,
-    list_transform(es, lambda v: list_transform(v, lambda p: ln(p))) AS les FROM line_es)"""
+    list_transform(es, lambda v: list_transform(v, lambda p: round(ln(p), 12))) AS les FROM line_es)"""
+
+
+def path_sql(source: str, keys: str, matrix: str) -> str:
+    """Score and whole path of the lines of ``source(keys, les)``.
+
+    The fold keeps, behind the K scores, the best state before each state of each position.
+    """
+    option = f"list_transform({matrix}, lambda c, j: list_transform(c, lambda p, i: acc[i] + p + e[j]))"
+    step = (
+        f"list_transform([{option}], lambda o: list_concat(list_transform(o, lambda s: list_max(s)),"
+        f" acc[{K + 1}:], list_transform(o, lambda s: (list_position(s, list_max(s)) - 1)::DOUBLE)))[1]"
+    )
+    back = f"(f[{K} + (e[1] - 1) * {K} + acc[1] + 1])::BIGINT"
+    steps = "list_transform(range(n - 1, 0, -1), lambda r: [r])"
+    last = f"[(list_position(f[1:{K}], list_max(f[1:{K}])) - 1)::BIGINT]"
+    return f"""kept AS MATERIALIZED (SELECT {keys}, len(les) AS n, list_reduce(les[2:], lambda acc, e: {step},
+        list_transform(lpi, lambda p, j: p + les[1][j])) AS f
+      FROM {source}, log_cols, log_rows, log_start)
+      SELECT {keys}, CASE WHEN isfinite(list_max(f[1:{K}])) THEN round(list_max(f[1:{K}]) / n, 9) END AS score,
+        array_to_string(list_reduce({steps}, lambda acc, e: list_prepend({back}, acc), {last}), ',') AS path
+      FROM kept"""
+
+
+def path_columns(found, keys):
+    score = F.round(F.col("score") / F.size("path"), 9)
+    return found.select(
+        *keys,
+        F.when(F.col("score") > float("-inf"), score).alias("score"),
+        F.array_join("path", ",").alias("path"),
+    )
 
 
 @query(
     "hmm_viterbi",
-    f"""WITH {VECTORS}, {LOGS}, folded AS MATERIALIZED (
-      SELECT id, line_no, len(les) AS n, {viterbi_sql('les', 'lat')} AS f
-      FROM log_es, log_cols, log_start)
-      SELECT id, line_no, round(list_max(f[1:{K}]) / n, 9) AS score,
-        (list_position(f[1:{K}], list_max(f[1:{K}])) - 1)::INT AS last_state FROM folded""",
+    f"WITH {VECTORS}, {LOGS}, {path_sql('log_es', 'id, line_no', 'lat')}",
 )
 def hmm_viterbi(t):
     m, lines = model_and_lines(t)
-    return hmm.viterbi(lines, m).select(
-        *KEYS,
-        F.round(F.col("score") / F.size("path"), 9).alias("score"),
-        F.element_at("path", -1).alias("last_state"),
-    )
+    return path_columns(hmm.viterbi(lines, m), KEYS)
+
+
+# Texts the vocabulary does not come from: no state emits an unseen word.
+HELD_OUT = f"""held_es AS MATERIALIZED (SELECT conv_id, turn, list(coalesce(e, none) ORDER BY pos) AS es
+    FROM (SELECT conv_id, turn, unnest(range(len(w))) AS pos, unnest(w) AS token
+      FROM (SELECT conv_id, turn, {sql.runs('text')} AS w FROM conversations))
+    LEFT JOIN e USING (token), unseen GROUP BY conv_id, turn),
+  held_logs AS MATERIALIZED (SELECT conv_id, turn,
+    list_transform(es, lambda v: list_transform(v, lambda p: CASE WHEN p = 0 THEN '-infinity'::DOUBLE
+      ELSE round(ln(p), 12) END)) AS les FROM held_es)"""
+
+
+def held_out_lines(t, m):
+    turns = t.conversations().withColumnRenamed("text", "line")
+    return hmm.encode_lines(turns, ["conv_id", "turn"], m.vocab)
+
+
+@query(
+    "hmm_viterbi_compat",
+    f"""WITH {VECTORS}, {LOGS}, unseen AS (SELECT list_transform(range({K}), lambda s: 0.0::DOUBLE) AS none),
+      {HELD_OUT}, {path_sql('held_logs', 'conv_id, turn', 'lrows')}""",
+)
+def hmm_viterbi_compat(t):
+    m = model(t)
+    return path_columns(hmm.viterbi(held_out_lines(t, m), m, compat=True), ["conv_id", "turn"])
+
+
+@query(
+    "hmm_em_step_joined",
+    f"WITH {EM} {parameters_sql('new_pi', 'new_a', 'new_b')}",
+)
+def hmm_em_step_joined(t):
+    """The step with the emissions joined to the tokens, as for a large vocabulary."""
+    m, lines = model_and_lines(t)
+    return parameter_rows(hmm.em_step(lines, m, limit=0)[0])
 
 
 GENERATED = 256
@@ -354,13 +441,8 @@ def cumulative(values: str) -> str:
     return f"sum(p) OVER ({values} ROWS UNBOUNDED PRECEDING)"
 
 
-EMISSION_AXIS = f"""weights AS (SELECT state, token, floor(p * 1073741824::DOUBLE)::BIGINT AS w FROM m_b),
-  axis AS MATERIALIZED (SELECT state, token,
-      (sum(w) OVER o - w)::DOUBLE * (count(*) OVER c / sum(w) OVER c) AS lo,
-      (sum(w) OVER o)::DOUBLE * (count(*) OVER c / sum(w) OVER c) AS hi,
-      count(*) OVER c AS m
-    FROM weights WHERE w > 0 WINDOW c AS (PARTITION BY state), o AS (PARTITION BY state ORDER BY token)),
-  sizes AS (SELECT state, max(m) AS m FROM axis GROUP BY state),
+EMISSION_AXIS = f"""axis AS MATERIALIZED (SELECT state, token, sum(p) OVER (PARTITION BY state
+      ORDER BY token ROWS UNBOUNDED PRECEDING) - p AS lo FROM m_b WHERE p > 0),
   moves AS MATERIALIZED (SELECT i, list(c ORDER BY j) AS c FROM
     (SELECT i, j, {cumulative('PARTITION BY i ORDER BY j')} AS c FROM m_a) GROUP BY i)"""
 
@@ -370,11 +452,11 @@ def picked(cumulated: str, u: str) -> str:
 
 
 def emitted_sql(keys: str) -> str:
-    """Tokens for ``walk(keys, pos, state)``: an as-of join on the cumulative weights."""
+    """Tokens for ``walk(keys, pos, state)``: an as-of join on the cumulative probabilities."""
     columns = keys.split(", ")
     at = sql.uniform(*[f"k.{c}" for c in columns], "k.pos", -1)
-    return f"""draws AS (SELECT {', '.join('k.' + c for c in columns)}, pos, state, {at} * m AS x
-        FROM walk k JOIN sizes USING (state))
+    return f"""draws AS (SELECT {', '.join('k.' + c for c in columns)}, pos, state, {at} AS x
+        FROM walk k)
       SELECT {', '.join('d.' + c for c in columns)}, d.pos::INT AS pos, d.state::INT AS state, a.token
       FROM draws d ASOF JOIN axis a ON d.state = a.state AND d.x >= a.lo"""
 
@@ -403,7 +485,7 @@ PREDICTED = 16
     "hmm_predict",
     f"""WITH RECURSIVE {VECTORS}, {LOGS.replace('log_es AS', 'unused_log_es AS')}, {EMISSION_AXIS},
       unseen AS (SELECT list_transform(range({K}), lambda s: '-infinity'::DOUBLE) AS none),
-      prompt_es AS MATERIALIZED (SELECT id, list(coalesce(list_transform(e, lambda p: ln(p)), none)
+      prompt_es AS MATERIALIZED (SELECT id, list(coalesce(list_transform(e, lambda p: round(ln(p), 12)), none)
           ORDER BY pos) AS les
         FROM (SELECT item_id AS id, unnest(range(len(w))) AS pos, unnest(w) AS token
           FROM (SELECT item_id, {sql.runs('text', newline=False)} AS w FROM benchmark))
@@ -434,3 +516,25 @@ def hmm_perplexity(t):
     m, lines = model_and_lines(t)
     per_line = F.exp(-F.col("log_likelihood") / F.col("tokens"))
     return hmm.forward(lines, m).agg(F.round(F.avg(per_line), 6).alias("mean_perplexity"))
+
+
+SMOOTH = f"""size_of AS (SELECT 1.0::DOUBLE / (count(*) + 1) AS u FROM vocab),
+  unseen AS (SELECT list_transform(range({K}), lambda s: u) AS none FROM size_of)"""
+
+
+@query(
+    "hmm_perplexity_held_out",
+    f"""WITH {VECTORS}, {SMOOTH}, {HELD_OUT.replace('coalesce(e, none)', 'coalesce(list_transform(e, lambda p: p * (1 - none[1])), none)')},
+      folded AS (SELECT conv_id, turn, len(es) AS tokens, {LOG_LIKELIHOOD} AS f FROM held_es, cols, start)
+      SELECT conv_id, turn, tokens, round(ln(exp(-f[{K + 1}] / tokens)), 6) AS log_perplexity FROM folded""",
+)
+def hmm_perplexity_held_out(t):
+    m = model(t)
+    smooth = hmm.with_unseen(m, 1 / (m.vocab_size + 1))
+    found = hmm.forward(held_out_lines(t, m), smooth)
+    return found.select(
+        "conv_id",
+        "turn",
+        "tokens",
+        F.round(-F.col("log_likelihood") / F.col("tokens"), 6).alias("log_perplexity"),
+    )

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusloom.functions import text as tx
+from corpusloom.functions import tokens as tk
 from corpusloom.operators import decoding as de
 from corpusloom.operators import markov as mk
+from corpusloom.operators import metrics as me
 from corpusloom.operators.encoding import encode_texts
 from corpusloom.plans import sql
 from corpusloom.plans.encoding import PIECE_VOCAB, STARTS, encoded_sql, piece_vocab
@@ -86,8 +89,9 @@ def walk_sql(starts: str, keys: str) -> str:
     """Lines written from ``starts(keys, word)``, one recursion per word."""
     columns = keys.split(", ")
     joined = ", ".join(f"k.{c}" for c in columns)
-    pick1 = f"s1.start + floor({sql.uniform(joined, 0)} * s1.m)::BIGINT"
-    pick2 = f"s2.start + floor({sql.uniform(joined, 'k.step + 1')} * s2.m)::BIGINT"
+    own = [f"k.{c}" for c in columns]
+    pick1 = f"s1.start + floor({sql.uniform(*own, 0)} * s1.m)::BIGINT"
+    pick2 = f"s2.start + floor({sql.uniform(*own, 'k.step + 1')} * s2.m)::BIGINT"
     return f"""walk AS (
       SELECT {joined}, 0 AS step, [k.word, e1.nxt] AS words, k.word AS w1, e1.nxt AS w2, false AS done
       FROM {starts} k JOIN s1 ON s1.w1 = k.word JOIN e1 ON e1.slot = {pick1}
@@ -95,7 +99,7 @@ def walk_sql(starts: str, keys: str) -> str:
       SELECT {joined}, k.step + 1, CASE WHEN e2.nxt = 'endl' THEN k.words
           ELSE list_append(k.words, e2.nxt) END, k.w2, e2.nxt, e2.nxt = 'endl'
       FROM walk k JOIN s2 ON s2.w1 = k.w1 AND s2.w2 = k.w2 JOIN e2 ON e2.slot = {pick2}
-      WHERE NOT k.done AND k.step < {mk.MAX_STEPS}),
+      WHERE NOT k.done AND k.step < 8),
     written AS (SELECT {keys}, array_to_string(words, ' ') AS line FROM walk WHERE done)"""
 
 
@@ -150,6 +154,57 @@ def predict_next(t):
     return _writer(t).predict_next(t.prompts(), "id", "text")
 
 
+GENERATED_TEXT = f"""{LINE_CHAINS},
+      hints AS MATERIALIZED (SELECT play, hint,
+          floor({sql.uniform('play', 'hint')} * (SELECT count(*) FROM line_starts))::BIGINT AS i
+        FROM (SELECT i // 150 AS play, i % 150 AS hint FROM (SELECT unnest(range(22500)) AS i))),
+      indexed AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS i FROM line_starts),
+      picked AS MATERIALIZED (SELECT play, hint, word FROM hints JOIN indexed USING (i)),
+      {walk_sql('picked', 'play, hint')},
+      plays AS (SELECT play, coalesce(string_agg(line || chr(10), '' ORDER BY hint), '') AS text
+        FROM (SELECT DISTINCT play FROM hints) LEFT JOIN written USING (play) GROUP BY play),
+      gw AS MATERIALIZED (SELECT play, {sql.words("replace(text, chr(10), '.')")} AS w FROM plays
+        WHERE replace(text, chr(10), '.') <> ' '),
+      triples AS (SELECT play, unnest(w[:len(w) - 1]) AS w1, unnest(w[2:]) AS w2,
+        unnest(list_append(w[3:], 'endl')) AS nxt FROM gw WHERE len(w) >= 3),
+      totals AS (SELECT w1, w2, sum(n) AS total FROM c2 GROUP BY w1, w2),
+      scored AS (SELECT play, exp(-avg(ln((coalesce(n, 0) + 1)
+          / (coalesce(total, 0) + (SELECT count(DISTINCT nxt) FROM c2))))) AS perplexity
+        FROM triples LEFT JOIN c2 USING (w1, w2, nxt) LEFT JOIN totals USING (w1, w2) GROUP BY play),
+      ngrams AS (SELECT unnest([2, 3, 4]) AS n),
+      grams AS (SELECT n, array_to_string(w[i : i + n - 1], ' ') AS g
+        FROM gw, ngrams, unnest(range(1, len(w) - n + 2)) AS t(i)),
+      repeated AS (SELECT n, 1 - count(DISTINCT g) / count(*)::DOUBLE AS r FROM grams GROUP BY n)"""
+
+
+@query(
+    "generated_report",
+    f"""WITH RECURSIVE {GENERATED_TEXT}
+      SELECT metric, round(value, 6) AS value FROM (
+        SELECT 'perplexity' AS metric, avg(perplexity) AS value FROM scored
+        UNION ALL SELECT 'words', sum(len(w))::DOUBLE FROM gw
+        UNION ALL SELECT 'repetition_' || n, r FROM repeated
+        UNION ALL SELECT 'diversity', product(1 - r) FROM repeated)""",
+)
+def generated_report(t):
+    """Plays written by the chains, made into texts and measured."""
+    lines = t.lines()
+    chain2 = materialise(mk.markov2(lines, "line"), "chain")
+    writer = mk.LineWriter(mk.markov1(lines, "line"), mk.with_probability(chain2, ["w1", "w2"]))
+    plays = writer.write_play(_line_starts(t), PLAYS, PLAY_LENGTH)
+    texts = plays.withColumn("text", tx.newline_to_period(F.col("text"))).filter("text <> ' '")
+    texts = materialise(texts, "plays")
+    repetition = materialise(me.ngram_repetition(texts, "text"), "repetition")
+    single = {f"repetition_{n}": repetition.filter(F.col("n") == n).select("repetition") for n in me.NGRAM_SIZES}
+    report = me.metric_report(
+        perplexity=me.mean_perplexity(me.chain_perplexity(texts, "play", "text", chain2)),
+        words=texts.agg(F.sum(F.size(tk.words(F.col("text")))).alias("words")),
+        **single,
+        diversity=me.diversity(repetition),
+    )
+    return report.withColumn("value", F.round("value", 6))
+
+
 # ------------------------------------------------------------------------------ decoding
 
 SOFTMAX = """peaks AS (SELECT context, max(logit / {t}) AS m FROM {source} GROUP BY context),
@@ -186,8 +241,7 @@ def top_k_filter(t):
       FROM softmax GROUP BY context""",
 )
 def categorical_sample(t):
-    kept = de.top_k_filter(t.logits(), ["context"], 8)
-    return de.categorical_sample(de.temperature_softmax(kept, ["context"], 0.8), ["context"])
+    return de.sample_top_k(t.logits(), ["context"], 8, 0.8)
 
 
 @query(
@@ -203,20 +257,18 @@ def context_crop(t):
     return coded.withColumn("ids", F.array_join(de.context_crop(F.col("ids"), 16), ","))
 
 
-SAMPLES, NEW_TOKENS, TEMPERATURE, KEEP = 10, 20, 0.8, 200
+SAMPLES, NEW_TOKENS, TEMPERATURE, KEEP = 10, 500, 0.8, 200
 
 CONTINUE = f"""{DOC2},
   logits AS (SELECT w1, w2, nxt, ln(n) AS logit FROM p2),
   kept AS (SELECT * FROM (SELECT *, rank() OVER (
-    PARTITION BY w1, w2 ORDER BY logit DESC) AS place FROM logits) WHERE place <= {KEEP}),
-  weights AS (SELECT w1, w2, nxt, floor(exp((logit - max(logit) OVER (PARTITION BY w1, w2))
-      / {TEMPERATURE}::DOUBLE) * 1073741824::DOUBLE)::BIGINT AS weight FROM kept),
-  edges AS MATERIALIZED (SELECT w1, w2, nxt,
-      (sum(weight) OVER o - weight)::DOUBLE * (count(*) OVER c / sum(weight) OVER c) AS lo,
-      (sum(weight) OVER o)::DOUBLE * (count(*) OVER c / sum(weight) OVER c) AS hi,
-      count(*) OVER c AS m
-    FROM weights WHERE weight > 0
-    WINDOW c AS (PARTITION BY w1, w2), o AS (PARTITION BY w1, w2 ORDER BY nxt)),
+    PARTITION BY w1, w2 ORDER BY logit DESC) AS place FROM logits) WHERE place <= 200),
+  weights AS (SELECT w1, w2, nxt, exp(logit / 0.8::DOUBLE) AS p FROM kept),
+  shares AS (SELECT w1, w2, nxt, p / sum(p) OVER (PARTITION BY w1, w2) AS p FROM weights),
+  edges AS MATERIALIZED (SELECT w1, w2, nxt, sum(p) OVER o - p AS lo,
+      CASE WHEN lead(nxt) OVER n IS NULL THEN 1.0::DOUBLE ELSE sum(p) OVER o END AS hi
+    FROM shares WINDOW n AS (PARTITION BY w1, w2 ORDER BY nxt),
+      o AS (PARTITION BY w1, w2 ORDER BY nxt ROWS UNBOUNDED PRECEDING)),
   starts AS MATERIALIZED (SELECT item_id AS id, w[len(w) - 1] AS w1, w[len(w)] AS w2,
       unnest(range({SAMPLES}))::INT AS sample
     FROM (SELECT item_id, {sql.words('text')} AS w FROM benchmark)),
@@ -225,9 +277,9 @@ CONTINUE = f"""{DOC2},
     UNION ALL
     SELECT k.id, k.sample, k.step + 1, k.w2, e.nxt, list_append(k.tokens, e.nxt)
     FROM walk k JOIN edges e ON e.w1 = k.w1 AND e.w2 = k.w2
-    WHERE k.step < {NEW_TOKENS} AND e.nxt <> 'endl'
-      AND {sql.uniform('k.id', 'k.sample', 'k.step')} * e.m >= e.lo
-      AND {sql.uniform('k.id', 'k.sample', 'k.step')} * e.m < e.hi)"""
+    WHERE k.step < 500 AND e.nxt <> 'endl'
+      AND {sql.uniform('k.id', 'k.sample', 'k.step')} >= e.lo
+      AND {sql.uniform('k.id', 'k.sample', 'k.step')} < e.hi)"""
 
 
 @query(

@@ -65,7 +65,10 @@ def chars(x: str) -> str:
 
 
 def uniform(*keys: object, seed: int = 42) -> str:
-    joined = f"concat_ws('|', '{seed}', {', '.join(str(k) for k in keys)})"
+    texts = [
+        f"coalesce(replace(replace(CAST({k} AS VARCHAR), '\\', '\\\\'), '|', '\\|'), '\\N')" for k in keys
+    ]
+    joined = f"concat_ws('|', '{seed}', {', '.join(texts)})"
     bits = f"('0x' || substr(md5({joined}), 1, 13))::BIGINT::DOUBLE"
     return f"(({bits} + 0.5::DOUBLE) / 4503599627370496::DOUBLE)"
 
