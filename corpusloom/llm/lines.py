@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.store import per_host
+
 #: White space in the sense of ASCII; a line is compared without it at its ends.
 BLANKS = " \t\x0b\x0c\r"
 
@@ -60,8 +62,7 @@ def drop_site_lines(
     number of lines dropped (0 for a null text); other columns pass through.
 
     A host has at most (lines per page) / ``ratio`` such lines, so they travel as one array
-    per host to the pages, whose texts are neither exploded nor regrouped. Spark broadcasts
-    these arrays if they are small and otherwise joins on the host, where AQE splits a hot one.
+    per host to the pages, whose texts are neither exploded nor regrouped (``per_host``).
     """
     boilerplate = (
         site_lines(docs, host, text)
@@ -71,6 +72,7 @@ def drop_site_lines(
         .withColumnRenamed("host", "_site")
         .withColumnRenamed("no_host", "_no_site")
     )
+    boilerplate, salt = per_host(boilerplate, F.xxhash64(text))
     lines = F.split(F.col(text), "\n")
     known = F.coalesce("_site_lines", F.array().cast("array<bigint>"))
     left = F.filter(
@@ -81,7 +83,8 @@ def drop_site_lines(
     joined = docs.join(
         boilerplate,
         (F.coalesce(F.col(host).cast("string"), F.lit("")) == F.col("_site"))
-        & (F.col(host).isNull() == F.col("_no_site")),
+        & (F.col(host).isNull() == F.col("_no_site"))
+        & (salt == F.col("_salt")),
         "left",
     )
     # Computed once, and only on hosts with such lines; null where nothing changes.

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.session import new_table_path
 
 
+#: Parts that a host's rows are joined in where the join is not a broadcast.
+SALTS = 32
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -32,6 +38,29 @@ def size_on_disk(spark: SparkSession, path: str) -> int:
     return store.getContentSummary(target).getLength()
 
 
+def bytes_of(setting: str) -> int:
+    """The bytes that a size setting such as 10485760b, 256k or 64MB stands for."""
+    number, unit = re.fullmatch(r"\s*(-?\d+)\s*([a-z]*)\s*", setting.lower()).groups()
+    return int(number) << 10 * "bkmgtp".index((unit or "b")[0])
+
+
+def per_host(table: DataFrame, spread: Column) -> tuple[DataFrame, Column]:
+    """``table``, of one row per host, written and with ``_salt``; and the rows' own salt.
+
+    Joined on the host and the salt to a large table whose rows ``spread`` tells apart. The
+    written table has a known size: within Spark's broadcast threshold the large side is
+    not shuffled, and there is one salt. Beyond it each host's row is repeated ``SALTS``
+    times, which spreads a hot host over as many tasks.
+    """
+    spark = table.sparkSession
+    table, path = written(table, "per-host")
+    limit = bytes_of(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    if size_on_disk(spark, path) <= limit:
+        return table.withColumn("_salt", F.lit(0)), F.lit(0)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    return table.withColumn("_salt", salts), F.pmod(spread, F.lit(SALTS)).cast("int")
+
+
 def held_out(key: str, parts: int, part: int):
     """Whether crc32 of the key as text falls in ``part``; a null key does not."""
     value = F.crc32(F.col(key).cast("string").cast("binary")) % parts == part

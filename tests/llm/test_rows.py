@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 
 from corpusloom.llm import lines, quality_rules, secrets
+from corpusloom.llm.store import bytes_of
 from corpusloom.llm.words import ALNUM, LOWER, Words, blocks, text_bytes
 from tests.llm.conftest import ROWS
 
@@ -162,3 +163,17 @@ def test_spans_are_written_in_order(spark):
     row = secrets.scan(spark.createDataFrame([(1, text)], "doc_id int, text string"))
     got = row.select(secrets.written_out(row.secrets)).first()[0]
     assert got == "assign:0:30,hex:6:30" and hashlib.sha256(got.encode()).hexdigest()
+
+
+def test_salted_join_gives_the_same_rows(spark, documents):
+    rows = [(k, f"menu\nown {k}", "big") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    want = sorted(map(tuple, lines.drop_site_lines(docs, ratio=0.3).collect()))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = lines.drop_site_lines(docs, ratio=0.3)
+        assert sorted(map(tuple, got.collect())) == want and want[3] == (3, "own 3", "big")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert [bytes_of(x) for x in ("10485760b", "256k", "64MB", "-1", "7")] == [10485760, 262144, 64 << 20, -1, 7]
