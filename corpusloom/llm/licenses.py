@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.store import drawn, sample_share
 from corpusloom.llm.words import ALNUM, LOWER, Words, blocks, text_bytes
 
 #: Public notices of the families, as projects quote them.
@@ -223,15 +224,12 @@ def fit(prose: list[str], rounds: int = 300) -> Model:
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
     """Fits on a bounded sample of the corpus's own paragraphs: one line, of at most 400
-    characters, from each of ``NEGATIVES`` documents chosen by the hash of key and text."""
-    line = F.element_at(F.split(F.col(text), "\n"), 1)
-    chosen = (
-        docs.filter(F.col(text).isNotNull())
-        .select(F.xxhash64(key, text).alias("h"), F.substring(line, 1, 400).alias("line"))
-        .orderBy("h", "line")
-        .limit(NEGATIVES)
-    )
-    return fit([r["line"] for r in chosen.collect()])
+    characters, from each of ``NEGATIVES`` documents at most, chosen by the hash of the key.
+    Equal lines count once, so repeated rows do not swell the sample."""
+    share = sample_share(docs.count(), NEGATIVES)
+    line = F.element_at(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), 1)
+    chosen = docs.filter(drawn(share, key)).select(F.substring(line, 1, 400).alias("line")).distinct()
+    return fit(sorted(r["line"] for r in chosen.collect()))
 
 
 SPAN = "array<struct<family:string,line:int,start:int,end:int,probability:double,similarity:double>>"

@@ -61,6 +61,20 @@ def per_host(table: DataFrame, spread: Column) -> tuple[DataFrame, Column]:
     return table.withColumn("_salt", salts), F.pmod(spread, F.lit(SALTS)).cast("int")
 
 
+def sample_share(count: int, rows: int) -> float:
+    """The share of ``count`` rows that makes a sample of ``rows`` at most.
+
+    Four standard errors below the whole, so that a draw by hash stays within it.
+    """
+    return 1.0 if count <= rows else max(rows - 4 * rows**0.5, 1) / count
+
+
+def drawn(share, *keys) -> Column:
+    """Whether the hash of the keys falls into ``share`` (a number or a column) of all."""
+    bits = F.shiftrightunsigned(F.xxhash64(*keys), 11).cast("double")
+    return bits < F.lit(float(2**53)) * share
+
+
 def held_out(key: str, parts: int, part: int):
     """Whether crc32 of the key as text falls in ``part``; a null key does not."""
     value = F.crc32(F.col(key).cast("string").cast("binary")) % parts == part

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.linear import Rows, fit_logistic, sigmoid
-from corpusloom.llm.store import drop_table, written
+from corpusloom.llm.store import drawn, drop_table, sample_share, written
 from corpusloom.llm.words import ALNUM, LOWER, Words, blocks, text_bytes
 
 #: Labelled rows of each class that a model is fitted on, at most.
@@ -77,7 +77,8 @@ def label_sample(
 ) -> DataFrame:
     """``(text, label)`` of at most ``rows`` labelled documents of each class.
 
-    Rows are chosen by the hash of the key, so the same tables give the same sample.
+    Rows are chosen by the hash of the key, below a threshold that follows from the number
+    of labels, so the same tables give the same sample and nothing is sorted for it.
     Repeated labels of a key count once (the larger), null ones not at all.
     """
     known = (
@@ -85,9 +86,11 @@ def label_sample(
         .groupBy(F.col(key).alias("_key"))
         .agg(F.max(label).alias("_label"))
     )
-    order = [F.xxhash64("_key"), F.col("_key")]
-    chosen = known.filter("_label = 1").orderBy(*order).limit(rows)
-    chosen = chosen.unionByName(known.filter("_label = 0").orderBy(*order).limit(rows))
+    sizes = {r["_label"]: r["count"] for r in known.groupBy("_label").count().collect()}
+    share = F.lit(1.0)
+    for value, count in sizes.items():
+        share = F.when(F.col("_label") == value, sample_share(count, rows)).otherwise(share)
+    chosen = known.filter(drawn(share, "_key"))
     return docs.join(F.broadcast(chosen), F.col(key) == F.col("_key")).select(
         F.coalesce(F.col(text), F.lit("")).alias("text"), F.col("_label").alias("label")
     )
