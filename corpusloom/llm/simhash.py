@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.graph import components
-from corpusloom.llm.store import written
+from corpusloom.llm.store import size_on_disk, written
 from corpusloom.llm.words import LOWER, VISIBLE, Words, blocks, mix, text_bytes
 
 SEED = 42
@@ -192,10 +192,14 @@ def links(prints: DataFrame) -> DataFrame:
         else f"named_struct('block', {b}, 'keep', {_signed(k)}L, 'flip', shiftleft(1L, 63))"
         for b, k, f in _variants()
     )
-    emitted = prints.select("fingerprint", F.explode(F.expr(f"array({rows})")).alias("v")).select(
-        F.col("v.block").alias("block"),
-        F.col("fingerprint").bitwiseAND(F.col("v.keep")).bitwiseXOR(F.col("v.flip")).alias("key"),
-        "fingerprint",
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    variant = F.explode(F.expr(f"array({rows})")).alias("v")
+    key = F.col("fingerprint").bitwiseAND(F.col("v.keep")).bitwiseXOR(F.col("v.flip"))
+    emitted = (
+        # A few megabytes of fingerprints make gigabytes of variants: not in few tasks.
+        prints.repartition(parts)
+        .select("fingerprint", variant)
+        .select(F.col("v.block").alias("block"), key.alias("key"), "fingerprint")
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -414,22 +418,25 @@ def similar(
     return _grouped(prints.select(key, "node"), one.select("node", "least"), edges, "node", key)
 
 
+#: Dropped keys are broadcast up to this size of their table, which is checked.
+BROADCAST_BYTES = 16 << 20
+
+
 def keep_one(docs: DataFrame, groups: DataFrame, key: str = "doc_id") -> DataFrame:
     """``docs`` with one row of each group of ``groups``: that of the smallest key.
 
-    Of rows that repeat a key one stays. Rows with a null key stay all.
+    Of rows that repeat a key one stays. Rows with a null key stay all. The keys that go are
+    written first; as long as their table is small the texts are not shuffled.
     """
-    chosen, _ = written(
-        groups.filter(F.col(key) == F.col("component"))
-        .groupBy(F.col(key).alias("_kept_key"))
-        .agg((F.count("*") > 1).alias("_repeated")),
-        "kept",
-    )
-    same = F.col(key) == F.col("_kept_key")
-    return (
-        docs.join(chosen.filter(~F.col("_repeated")), same, "left_semi")
-        .unionByName(
-            docs.join(chosen.filter("_repeated"), same, "left_semi").dropDuplicates([key])
-        )
-        .unionByName(docs.filter(F.col(key).isNull()))
-    )
+    spark = docs.sparkSession
+    mine = groups.select(F.col(key).alias("_key"), (F.col(key) == F.col("component")).alias("_stays"))
+    counted = mine.groupBy("_key").agg(F.min("_stays").alias("_stays"), F.count("*").alias("_n"))
+    marked, path = written(counted.filter("not _stays or _n > 1"), "dropped")
+    if size_on_disk(spark, path) <= BROADCAST_BYTES:
+        marked = F.broadcast(marked)
+    same = F.col(key) == F.col("_key")
+    others = docs.join(marked, same, "left_anti")
+    repeated = marked.filter("_stays")
+    if repeated.isEmpty():
+        return others
+    return others.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates([key]))
