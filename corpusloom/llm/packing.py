@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.words import LOWER, VISIBLE, blocks, number_pieces, text_bytes
+from corpusloom.llm.words import LOWER, VISIBLE, blocks, number_pieces, release, text_bytes
 
 CAPACITY = 2048
 END_ID = 1
@@ -145,19 +145,6 @@ class Encoder:
         return flat[at], after[np.searchsorted(starts, begins)]
 
 
-    def forget(self) -> None:
-        """Gives back the memory of what was remembered."""
-        self.young, self.old = {}, {}
-
-
-_encoders: dict[str | None, Encoder] = {}
-
-
-def encoder(path: str | None) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
 
 class Packer:
     """Fill levels of the open windows of one task."""
@@ -262,7 +249,7 @@ def pack(
     kind = source.schema["key"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, packer = encoder(tokenizer), Packer(capacity, MAX_OPEN)
+        coder, packer = Encoder(tokenizer), Packer(capacity, MAX_OPEN)
         sequence = TaskContext.get().partitionId() << 40
         columns: list[list] = [[] for _ in range(7 + with_ids)]
 
@@ -298,11 +285,12 @@ def pack(
                     for window in packer.place((row, whole, own[whole:].copy())):
                         emit(window)
             yield out(key_type)
-        coder.forget()
+        del coder
         if key_type is not None:
             for window in packer.close():
                 emit(window)
             yield out(key_type)
+        release()
 
     schema = f"key {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
     schema += "sequence_id bigint, offset bigint" + ", ids array<bigint>" * with_ids

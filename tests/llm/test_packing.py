@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from corpusloom.llm.packing import CAPACITY, Encoder, Packer, encoder, pack
+from corpusloom.llm.packing import CAPACITY, Encoder, Packer, pack
 
 ODD = [
     "", None, " \n ", "Don't STOP; we'll see, it's 12345 o'clock!'s", "naïve Œuvre Straße ÀÉÎ",
@@ -16,8 +16,11 @@ ODD = [
 ]
 
 
+ENCODER = Encoder()
+
+
 def whole(text):
-    ids = encoder(None).tokenizer.encode(text or "", add_special_tokens=False).ids
+    ids = ENCODER.tokenizer.encode(text or "", add_special_tokens=False).ids
     return [*ids, 1]
 
 
@@ -30,7 +33,7 @@ def test_encoder_equals_the_tokenizer():
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=60))
 def test_encoder_on_any_text(text):
-    ids, _ = encoder(None).encode(pa.chunked_array([[text]]))
+    ids, _ = ENCODER.encode(pa.chunked_array([[text]]))
     assert ids.tolist() == whole(text)[:-1]
 
 
