@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.graph import components
-from corpusloom.llm.store import size_on_disk, written
+from corpusloom.llm.store import drawn, drop_table, sample_share, size_on_disk, written
 from corpusloom.llm.words import LOWER, VISIBLE, Words, blocks, mix, text_bytes
 
 SEED = 42
@@ -270,119 +270,263 @@ def _grouped(prints: DataFrame, one: DataFrame, edges: DataFrame, node: str, key
 
 # Near duplicates by similarity of their shingles.
 
-#: Band of this many bits, and how many: 0.49 of the pairs at similarity 0.8 meet in one
-#: band, 0.966 in any of five, and practically all at 0.9.
-BAND_BITS, BANDS = 40, 5
-#: Words of 64 bits of the sketch that pairs are verified on.
-SKETCH = 8
-#: Bytes of text that are sketched at a time.
-SKETCH_BLOCK = 2 << 20
+#: Bytes of text whose shingles are hashed at a time.
+SHINGLE_BLOCK = 2 << 20
+#: Documents, and shingles that several of them share, that set the order of shingles.
+ORDER_DOCS, ORDER_SHINGLES = 20_000, 200_000
+#: Members of a bucket up to which all of its pairs are proposed at once.
+CROWDED = 16
+#: Pairs that a task holds at a time.
+PAIR_ROWS = 200_000
+#: Dropped keys are broadcast up to this size of their table, which is checked.
+BROADCAST_BYTES = 16 << 20
+_SLACK = 1e-9
+
+
+def _shingles(table: pa.Table, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of every shingle of the column ``text``, repeats included.
+
+    Words are as in ``fingerprints``; a text of fewer words than a shingle is one shingle,
+    and a text without words has none.
+    """
+    words = Words(*text_bytes(table["text"]), VISIBLE, LOWER)
+    codes, distinct = words.codes()
+    hashes = np.fromiter(
+        (xxhash.xxh64_intdigest(w, SEED) for w in distinct), np.uint64, len(distinct)
+    )[codes]
+    n = words.counts
+    runs = np.where(n >= shingle, n - shingle + 1, np.minimum(n, 1))
+    head = np.repeat(words.first[:-1], runs) + (
+        np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs)
+    )
+    row = np.repeat(np.arange(table.num_rows), runs)
+    length = np.minimum(shingle, n[row])
+    out = np.zeros(len(head), dtype=np.uint64)
+    for k in range(shingle):
+        own = np.flatnonzero(length > k)
+        out[own] = mix(out[own] * np.uint64(31) + hashes[head[own] + k])
+    return row, out
 
 
-def _seeded(hashes: np.ndarray, seed: int) -> np.ndarray:
-    return mix(hashes + np.uint64((seed + 1) * 0x9E3779B97F4A7C15 % 2**64))
+def _firsts(*columns: np.ndarray) -> np.ndarray:
+    """Where sorted rows differ from the row before."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return new
 
 
-def sketches(docs: DataFrame, key: str, text: str, shingle: int = 5) -> DataFrame:
-    """``(key, bands, sketch)``: SimHash bits of the set of words and of the set of shingles.
+def _common(docs: DataFrame, text: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several of a sample of texts share, ascending, and by how many.
 
-    Few changed words leave most single words in place, so two similar texts differ in few
-    of the bands' bits (about 7 % at similarity 0.8 of five-word shingles, against 15 % of
-    the sketch's). Words are as in ``fingerprints``; a text of fewer words than a shingle
-    is one shingle, and all texts without words are alike.
+    They only order the shingles, see ``shingle_sets``: the sample bounds no result.
     """
-    source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    source = docs.select(F.col(text).alias("text"))
+    share = sample_share(source.count(), ORDER_DOCS)
 
-    def sets(row: np.ndarray, hashes: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
-        """Each row's distinct hashes (40 bits of them), sorted behind the row's number."""
-        at = np.unique(row.astype(np.uint64) << np.uint64(40) | hashes >> np.uint64(24))
-        counts = np.bincount((at >> np.uint64(40)).astype(np.int64), minlength=rows)
-        return at << np.uint64(24), counts
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in blocks(batches, "text", SHINGLE_BLOCK):
+            row, hashes = _shingles(table, shingle)
+            order = np.lexsort((hashes, row))
+            row, hashes = row[order], hashes[order]
+            single = hashes[_firsts(row, hashes)].view(np.int64)
+            yield pa.record_batch([pa.array(single)], ["shingle"])
+
+    drawn_texts = source.filter(drawn(share, "text")).dropDuplicates()
+    counted = drawn_texts.mapInArrow(work, "shingle bigint").groupBy("shingle").count()
+    top = counted.filter("count > 2").orderBy(F.desc("count"), "shingle").limit(ORDER_SHINGLES)
+    rows = top.collect()
+    known = np.array([r["shingle"] for r in rows], dtype=np.int64).view(np.uint64)
+    order = np.argsort(known)
+    return known[order], np.array([r["count"] for r in rows], dtype=np.int64)[order]
+
+
+def shingle_sets(docs: DataFrame, key: str, text: str, shingle: int = 5) -> DataFrame:
+    """``(key, node, shingles)``: each text's distinct hashed shingles, in one order for all.
+
+    Shingles that are common in a sample come last, the commonest at the end, and the rest
+    goes by hash. ``node`` is a hash of the set; texts without words are alike.
+    """
+    known, counts = _common(docs, text, shingle)
+    sent = docs.sparkSession.sparkContext.broadcast((known, counts))
+    source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in blocks(batches, "text", SKETCH_BLOCK):
-            rows = table.num_rows
-            words = Words(*text_bytes(table["text"]), VISIBLE, LOWER)
-            codes, distinct = words.codes()
-            hashes = np.fromiter(
-                (xxhash.xxh64_intdigest(w, SEED) for w in distinct), np.uint64, len(distinct)
-            )
-            hashes = hashes[codes]
-            n = words.counts
-            row = np.repeat(np.arange(rows), n)
-            runs = np.where(n >= shingle, n - shingle + 1, np.minimum(n, 1))
-            head = np.repeat(words.first[:-1], runs) + (
-                np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs)
+        known, counts = sent.value
+        for table in blocks(batches, "text", SHINGLE_BLOCK):
+            row, hashes = _shingles(table, shingle)
+            often = np.zeros(len(hashes), dtype=np.int64)
+            if len(known):
+                place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                often = np.where(known[place] == hashes, counts[place], 0)
+            order = np.lexsort((hashes, often, row))
+            row, hashes = row[order], hashes[order]
+            once = _firsts(row, hashes)
+            row, hashes = row[once], hashes[once]
+            n = np.bincount(row, minlength=table.num_rows)
+            begin = np.concatenate([[0], np.cumsum(n)])
+            total = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes + _ONE), dtype=np.uint64)])
+            node = mix(total[begin[1:]] - total[begin[:-1]] + mix(n.astype(np.uint64)))
+            lists = pa.ListArray.from_arrays(
+                pa.array(begin.astype(np.int32)), pa.array(hashes.view(np.int64))
             )
-            text_of = np.repeat(np.arange(rows), runs)
-            length = np.minimum(shingle, n[text_of])
-            runs_hash = np.zeros(len(head), dtype=np.uint64)
-            for k in range(shingle):
-                own = np.flatnonzero(length > k)
-                runs_hash[own] = mix(runs_hash[own] * np.uint64(31) + hashes[head[own] + k])
-            single, singles = sets(row, hashes, rows)
-            several, shingles = sets(text_of, runs_hash, rows)
-            low = np.uint64((1 << BAND_BITS) - 1)
-            bands = [majority_bits(_seeded(single, b), singles) & low for b in range(BANDS)]
-            bits = [majority_bits(_seeded(several, 64 + b), shingles) for b in range(SKETCH)]
-            made = {"key": table["key"]}
-            for name, columns in (("bands", bands), ("sketch", bits)):
-                flat = pa.array(np.stack(columns, axis=1).reshape(-1).view(np.int64))
-                made[name] = pa.FixedSizeListArray.from_arrays(flat, len(columns)).cast(
-                    pa.list_(pa.int64())
-                )
-            yield from pa.table(made).to_batches()
+            made = {"key": table["key"], "node": pa.array(node.view(np.int64)), "shingles": lists}
+            yield from pa.table(made).to_batches(max_chunksize=1000)
 
     kind = source.schema["key"].dataType.simpleString()
-    schema = f"key {kind}, bands array<bigint>, sketch array<bigint>"
-    return source.mapInArrow(work, schema).withColumnRenamed("key", key)
+    made = source.mapInArrow(work, f"key {kind}, node bigint, shingles array<bigint>")
+    return made.withColumnRenamed("key", key)
 
 
-def _meetings(one: DataFrame) -> DataFrame:
-    """``(a, b)``: nodes that share a variant of a band with its smallest or largest node."""
-    flips = ", ".join(["0L", *(f"{1 << b}L" for b in range(BAND_BITS))])
-    parts = int(one.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    emitted = (
-        one.select("node", "bands")
-        .repartition(parts, "node")
-        .select("node", F.posexplode("bands").alias("band", "bits"))
-        .select("node", "band", "bits", F.explode(F.expr(f"array({flips})")).alias("flip"))
-        .select(
-            F.expr(f"shiftleft(cast(band as bigint), {BAND_BITS}) | (bits ^ flip)").alias("key"),
-            "node",
-        )
-    )
+def _whole_buckets(
+    batches: Iterator[pa.RecordBatch], names: list[str]
+) -> Iterator[list[np.ndarray]]:
+    """Columns of rows sorted by the first one, cut between its values only."""
+    kept: list[list[np.ndarray]] = []
+    rows, limit = 0, 200_000
+    for batch in batches:
+        kept.append([batch[name].to_numpy() for name in names])
+        rows += batch.num_rows
+        if rows >= limit:
+            columns = [np.concatenate(c) for c in zip(*kept, strict=True)]
+            stop = int(np.searchsorted(columns[0], columns[0][-1]))
+            yield [c[:stop] for c in columns]
+            kept, rows = [[c[stop:] for c in columns]], len(columns[0]) - stop
+            limit = 200_000 + 2 * rows
+    if rows:
+        yield [np.concatenate(c) for c in zip(*kept, strict=True)]
+
+
+def _may_link(n, place, left, right, similarity: float) -> np.ndarray:
+    """Whether pairs can be similar enough if this is their first common shingle."""
+    need = similarity / (1 + similarity) * (n[left] + n[right]) - _SLACK
+    return np.minimum(n[left] - place[left], n[right] - place[right]) >= need
+
+
+_MET = "a bigint, b bigint, shingle bigint, n int, place int"
+
+
+def _meetings(sets: DataFrame, similarity: float) -> DataFrame:
+    """Nodes that share a shingle among the first of both: pairs, and crowded buckets.
+
+    Rows with ``b`` are proposed pairs: all of a small bucket, and those with three members
+    of a crowded one. Rows without ``b`` are the members of the crowded buckets.
+    """
+    n = F.size("shingles")
+    first = n - F.ceil(n * F.lit(similarity) - F.lit(_SLACK)).cast("int") + 1
+    emitted = sets.select(
+        "node", n.alias("n"), F.posexplode(F.slice("shingles", F.lit(1), first)).alias("place", "shingle")
+    ).select("shingle", "node", "n", "place")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[np.ndarray] = [np.zeros((2, 0), dtype=np.int64)]
-        rows, limit = 0, 200_000
-
-        def pairs(both: np.ndarray) -> pa.RecordBatch:
-            key, node = both
-            new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else key == 0
-            start = np.flatnonzero(new)
-            group = np.cumsum(new) - 1
-            last = np.append(start[1:], len(key)) - 1
-            edges = [np.stack([node, node[hub[group]]], axis=1) for hub in (start, last)]
-            found = np.concatenate(edges)
-            found = np.unique(np.sort(found[found[:, 0] != found[:, 1]], axis=1), axis=0)
-            return pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+        for columns in _whole_buckets(batches, ["shingle", "node", "n", "place"]):
+            once = _firsts(*columns[:2])
+            key, node, n, place = (c[once] for c in columns)
+            if not len(key):
+                continue
+            start = np.flatnonzero(_firsts(key))
+            size = np.diff(np.append(start, len(key)))
+            several = np.repeat(size, size) > 1
+            if not several.any():
+                continue
+            key, node, n, place = (c[several] for c in (key, node, n, place))
+            start, size = np.flatnonzero(_firsts(key)), size[size > 1]
+            group = np.repeat(np.arange(len(size)), size)
+            crowded = np.repeat(size, size) > CROWDED
+            made = []
+            for step in range(1, min(CROWDED, int(size.max()))):
+                left = np.flatnonzero((key[step:] == key[:-step]) & ~crowded[step:])
+                made.append((left, left + step))
+            full = np.flatnonzero(crowded)
+            last = start + size - 1
+            for hub in (start, (start + last) // 2, last):
+                made.append((full, hub[group[full]]))
+            found = []
+            for left, right in made:
+                fits = (left != right) & _may_link(n, place, left, right, similarity)
+                found.append(np.sort(np.stack([node[left[fits]], node[right[fits]]], axis=1), axis=1))
+            pairs = np.unique(np.concatenate(found), axis=0)
+            for at in range(0, len(pairs), PAIR_ROWS):
+                part = pairs[at : at + PAIR_ROWS]
+                none = pa.nulls(len(part), pa.int32())
+                both = [pa.array(part[:, 0]), pa.array(part[:, 1]), pa.nulls(len(part), pa.int64())]
+                yield pa.record_batch([*both, none, none], ["a", "b", "shingle", "n", "place"])
+            if len(full):
+                yield pa.record_batch(
+                    [
+                        pa.array(node[full]), pa.nulls(len(full), pa.int64()), pa.array(key[full]),
+                        pa.array(n[full]), pa.array(place[full]),
+                    ],
+                    ["a", "b", "shingle", "n", "place"],
+                )
+
+    dealt = emitted.repartition("shingle").sortWithinPartitions("shingle", "node")
+    return dealt.mapInArrow(work, _MET)
+
+
+def _rest(members: DataFrame, similarity: float) -> DataFrame:
+    """``(a, b)``: pairs of crowded buckets that no links connect so far.
+
+    ``members`` has ``shingle, node, n, place, root``; all pairs of different roots in a
+    bucket are proposed, as far as lengths and places allow.
+    """
 
-        for batch in batches:
-            kept.append(np.stack([batch["key"].to_numpy(), batch["node"].to_numpy()]))
-            rows += batch.num_rows
-            if rows >= limit:
-                both = np.concatenate(kept, axis=1)
-                stop = int(np.searchsorted(both[0], both[0, -1]))
-                yield pairs(both[:, :stop])
-                kept, rows = [both[:, stop:]], both.shape[1] - stop
-                limit = 200_000 + 2 * rows
-        yield pairs(np.concatenate(kept, axis=1))
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch(found: list[np.ndarray]) -> pa.RecordBatch:
+            pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+            return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-    dealt = emitted.repartition("key").sortWithinPartitions("key", "node")
+        names = ["shingle", "node", "n", "place", "root"]
+        for key, *columns in _whole_buckets(batches, names):
+            found, held = [], 0
+            start = np.flatnonzero(_firsts(key)) if len(key) else []
+            for low, high in zip(start, [*start[1:], len(key)], strict=True):
+                root = columns[3][low:high]
+                if (root == root[0]).all():
+                    continue
+                order = np.argsort(columns[1][low:high], kind="stable")
+                node, n, place, root = (c[low:high][order] for c in columns)
+                ends = np.searchsorted(n, n / similarity + _SLACK, side="right")
+                for k, end in enumerate(ends):
+                    other = np.arange(k + 1, end)
+                    fits = (root[other] != root[k]) & _may_link(n, place, k, other, similarity)
+                    other = node[other[fits]]
+                    if len(other):
+                        found.append(np.stack([np.full(len(other), node[k]), other], axis=1))
+                        held += len(other)
+                    if held >= PAIR_ROWS:
+                        yield batch(found)
+                        found, held = [], 0
+            if found:
+                yield batch(found)
+
+    dealt = members.repartition("shingle").sortWithinPartitions("shingle", "node")
     return dealt.mapInArrow(work, "a bigint, b bigint").distinct()
 
 
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose shingles have the similarity, counted on the whole sets; written."""
+    pairs, path = written(pairs, "pairs")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = sets.select("node", "shingles").join(nodes, "node", "left_semi")
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("mine"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("theirs"))
+    shared = F.size(F.array_intersect("mine", "theirs"))
+    joined = pairs.join(left, "a").join(right, "b").select(
+        "a", "b", shared.alias("shared"), (F.size("mine") + F.size("theirs")).alias("both")
+    )
+    enough = F.col("shared") >= F.lit(similarity) * (F.col("both") - F.col("shared")) - _SLACK
+    edges, _ = written(joined.filter(enough).select("a", "b").distinct(), "links")
+    drop_table(pairs.sparkSession, path)
+    return edges
+
+
+def _dropping(df: DataFrame, keys: DataFrame, path: str, same) -> DataFrame:
+    """``df`` without the rows of ``keys``, a written table: broadcast if it is small."""
+    if size_on_disk(df.sparkSession, path) <= BROADCAST_BYTES:
+        keys = F.broadcast(keys)
+    return df.join(keys, same, "left_anti")
+
+
 def similar(
     docs: DataFrame,
     key: str = "doc_id",
@@ -392,34 +536,32 @@ def similar(
 ) -> DataFrame:
     """``(key, node, component)``: groups of texts whose shingles have a Jaccard similarity.
 
-    Every band of a text's word bits emits itself and its one-bit variants, so two texts
-    meet if a band differs in at most two bits. In each bucket all are compared with its
-    smallest and largest member only, never all pairs; the sketches decide, with a margin
-    of one standard error. Copies share one node and are reduced to it before that. The
+    Groups are exact: two texts are linked if and only if their sets of hashed shingles
+    have the similarity. Of two sets that do, the first n - ceil(similarity * n) + 1 shingles
+    in any one order share one, so each text emits those, and all texts of a shingle meet.
+    A small bucket proposes all pairs. A crowded one proposes those with three members first;
+    what the verified links leave apart is then compared in full. Every proposed pair is
+    decided on the whole sets. Copies share one node and are reduced to it before that. The
     component is the smallest key in reach; see ``near_duplicates`` for nulls and repeats.
     """
-    hashed = F.xxhash64("bands", "sketch").alias("node")
-    prints, _ = written(sketches(docs, key, text, shingle).select("*", hashed), "sketches")
-    one = prints.groupBy("node").agg(
-        F.first("bands").alias("bands"),
-        F.first("sketch").alias("sketch"),
-        F.min(key).alias("least"),
-    )
-    one, _ = written(one, "sketched")
-    bits = 64 * SKETCH
-    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    most = int(bits * (share + np.sqrt(share * (1 - share) / bits)))
-    left = one.select(F.col("node").alias("a"), F.col("sketch").alias("mine"))
-    right = one.select(F.col("node").alias("b"), F.col("sketch").alias("theirs"))
-    apart = F.expr(
-        "aggregate(zip_with(mine, theirs, (x, y) -> bit_count(x ^ y)), 0, (n, x) -> n + x)"
-    )
-    edges = _meetings(one).join(left, "a").join(right, "b").filter(apart <= most).select("a", "b")
-    return _grouped(prints.select(key, "node"), one.select("node", "least"), edges, "node", key)
-
-
-#: Dropped keys are broadcast up to this size of their table, which is checked.
-BROADCAST_BYTES = 16 << 20
+    every, _ = written(shingle_sets(docs, key, text, shingle), "shingles")
+    one = every.groupBy("node").agg(F.min(key).alias("least"), F.count("*").alias("copies"))
+    one, _ = written(one, "nodes")
+    twice = one.filter("copies > 1").select(F.col("node").alias("_node"), "least")
+    again = every.select("node", key).join(twice, F.col("node") == F.col("_node"))
+    again = again.filter(F.col(key) != F.col("least")).select(F.col(key).alias("_key")).distinct()
+    again, path = written(again, "copies")
+    sets = _dropping(every, again, path, F.col(key) == F.col("_key"))
+
+    met, _ = written(_meetings(sets, similarity), "meetings")
+    edges = _verified(met.filter("b IS NOT NULL").select("a", "b").distinct(), sets, similarity)
+    crowded = met.filter("b IS NULL").select("shingle", F.col("a").alias("node"), "n", "place")
+    if not crowded.isEmpty():
+        reached = components(edges).withColumnRenamed("component", "root")
+        members = crowded.join(reached, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rest = members.select("shingle", "node", "n", "place", "root")
+        edges = edges.union(_verified(_rest(rest, similarity), sets, similarity))
+    return _grouped(every.select(key, "node"), one.select("node", "least"), edges, "node", key)
 
 
 def keep_one(docs: DataFrame, groups: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -133,3 +133,48 @@ def test_keep_one_keeps_odd_rows(documents):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "5", "6", "8", "9", "None"]
     empty = documents.limit(0)
     assert simhash.keep_one(empty, simhash.similar(empty)).count() == 0
+
+
+def plain_shingles(text, size=5):
+    words = text.lower().split()
+    return {tuple(words[i : i + size]) for i in range(max(len(words) - size + 1, 1))}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def similar_groups(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return {r.doc_id: r.component for r in simhash.similar(docs).collect()}
+
+
+def exact_groups(texts):
+    sets = [plain_shingles(t) for t in texts]
+    return plain_components(range(len(sets)), lambda a, b: jaccard(sets[a], sets[b]) >= 0.8)
+
+
+def test_similar_finds_copies_with_a_passage_added_cut_or_replaced(spark):
+    rng = random.Random(9)
+    texts = []
+
+    def fresh(n):
+        return [f"v{rng.randrange(10**9)}" for _ in range(n)]
+
+    for n in (104, 404):
+        for share in (0.8, 0.85, 0.9, 0.95):
+            for _ in range(5):
+                text = fresh(n)
+                more = int((n - 4) / share) - (n - 4)
+                cut = n - int((n - 4) * (1 - share))
+                swap = max(1, int((n - 4) * (1 - share) / (1 + share)) - 4)
+                texts += [text, text + fresh(more)]
+                other = fresh(n)
+                texts += [other, other[:cut]]
+                third = fresh(n)
+                texts += [third, third[:40] + fresh(swap) + third[40 + swap :]]
+    texts = [" ".join(t) for t in texts]
+    sets = [plain_shingles(t) for t in texts]
+    assert min(jaccard(sets[k], sets[k + 1]) for k in range(0, len(sets), 2)) >= 0.8
+    got = similar_groups(spark, texts)
+    assert all(got[k] == got[k + 1] == k for k in range(0, len(texts), 2))
