@@ -340,14 +340,17 @@ def _common(docs: DataFrame, text: str, shingle: int) -> tuple[np.ndarray, np.nd
     return known[order], np.array([r["count"] for r in rows], dtype=np.int64)[order]
 
 
-def shingle_sets(docs: DataFrame, key: str, text: str, shingle: int = 5) -> DataFrame:
-    """``(key, node, shingles)``: each text's distinct hashed shingles, in one order for all.
+def shingle_sets(
+    docs: DataFrame, key: str, text: str, shingle: int = 5, similarity: float = 0.0, common=None
+) -> DataFrame:
+    """``(key, node, n, shingles)``: each text's n distinct hashed shingles, in one order for all.
 
-    Shingles that are common in a sample come last, the commonest at the end, and the rest
-    goes by hash. ``node`` is a hash of the set; texts without words are alike.
+    Shingles that are ``common`` in a sample come last, the commonest at the end, and the rest
+    goes by hash. ``node`` is a hash of the set; texts without words are alike. With a
+    similarity only the first shingles are listed, of which two so similar sets share one.
     """
-    known, counts = _common(docs, text, shingle)
-    sent = docs.sparkSession.sparkContext.broadcast((known, counts))
+    none = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    sent = docs.sparkSession.sparkContext.broadcast(common or none)
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,14 +369,19 @@ def shingle_sets(docs: DataFrame, key: str, text: str, shingle: int = 5) -> Data
             begin = np.concatenate([[0], np.cumsum(n)])
             total = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes + _ONE), dtype=np.uint64)])
             node = mix(total[begin[1:]] - total[begin[:-1]] + mix(n.astype(np.uint64)))
+            if similarity:
+                most = n - np.ceil(n * similarity - _SLACK).astype(np.int64) + (n > 0)
+                hashes = hashes[np.arange(len(row)) - begin[row] < most[row]]
+                begin = np.concatenate([[0], np.cumsum(most)])
             lists = pa.ListArray.from_arrays(
                 pa.array(begin.astype(np.int32)), pa.array(hashes.view(np.int64))
             )
-            made = {"key": table["key"], "node": pa.array(node.view(np.int64)), "shingles": lists}
+            made = {"key": table["key"], "node": pa.array(node.view(np.int64))}
+            made |= {"n": pa.array(n.astype(np.int32)), "shingles": lists}
             yield from pa.table(made).to_batches(max_chunksize=1000)
 
     kind = source.schema["key"].dataType.simpleString()
-    made = source.mapInArrow(work, f"key {kind}, node bigint, shingles array<bigint>")
+    made = source.mapInArrow(work, f"key {kind}, node bigint, n int, shingles array<bigint>")
     return made.withColumnRenamed("key", key)
 
 
@@ -405,17 +413,14 @@ def _may_link(n, place, left, right, similarity: float) -> np.ndarray:
 _MET = "a bigint, b bigint, shingle bigint, n int, place int"
 
 
-def _meetings(sets: DataFrame, similarity: float) -> DataFrame:
+def _meetings(firsts: DataFrame, similarity: float) -> DataFrame:
     """Nodes that share a shingle among the first of both: pairs, and crowded buckets.
 
     Rows with ``b`` are proposed pairs: all of a small bucket, and those with three members
     of a crowded one. Rows without ``b`` are the members of the crowded buckets.
     """
-    n = F.size("shingles")
-    first = n - F.ceil(n * F.lit(similarity) - F.lit(_SLACK)).cast("int") + 1
-    emitted = sets.select(
-        "node", n.alias("n"), F.posexplode(F.slice("shingles", F.lit(1), first)).alias("place", "shingle")
-    ).select("shingle", "node", "n", "place")
+    emitted = firsts.select("node", "n", F.posexplode("shingles").alias("place", "shingle"))
+    emitted = emitted.select("shingle", "node", "n", "place")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in _whole_buckets(batches, ["shingle", "node", "n", "place"]):
@@ -503,28 +508,34 @@ def _rest(members: DataFrame, similarity: float) -> DataFrame:
     return dealt.mapInArrow(work, "a bigint, b bigint").distinct()
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose shingles have the similarity, counted on the whole sets; written."""
+def _verified(pairs: DataFrame, sets, similarity: float) -> DataFrame:
+    """The pairs whose shingles have the similarity, counted on the whole sets; written.
+
+    ``sets`` gives ``(node, shingles)`` of a table of nodes: only those of the pairs travel.
+    """
+    spark = pairs.sparkSession
     pairs, path = written(pairs, "pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = sets.select("node", "shingles").join(nodes, "node", "left_semi")
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("mine"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("theirs"))
+    whole, whole_path = written(sets(nodes), "sets")
+    few = F.broadcast(pairs) if size_on_disk(spark, path) <= BROADCAST_BYTES else pairs
+    left = whole.select(F.col("node").alias("a"), F.col("shingles").alias("mine"))
+    right = whole.select(F.col("node").alias("b"), F.col("shingles").alias("theirs"))
     shared = F.size(F.array_intersect("mine", "theirs"))
-    joined = pairs.join(left, "a").join(right, "b").select(
+    joined = left.join(few, "a").join(right, "b").select(
         "a", "b", shared.alias("shared"), (F.size("mine") + F.size("theirs")).alias("both")
     )
     enough = F.col("shared") >= F.lit(similarity) * (F.col("both") - F.col("shared")) - _SLACK
     edges, _ = written(joined.filter(enough).select("a", "b").distinct(), "links")
-    drop_table(pairs.sparkSession, path)
+    drop_table(spark, path)
+    drop_table(spark, whole_path)
     return edges
 
 
-def _dropping(df: DataFrame, keys: DataFrame, path: str, same) -> DataFrame:
-    """``df`` without the rows of ``keys``, a written table: broadcast if it is small."""
-    if size_on_disk(df.sparkSession, path) <= BROADCAST_BYTES:
-        keys = F.broadcast(keys)
-    return df.join(keys, same, "left_anti")
+def _small_side(table: DataFrame, label: str) -> DataFrame:
+    """``table`` written, and broadcast in a join if it is small."""
+    table, path = written(table, label)
+    small = size_on_disk(table.sparkSession, path) <= BROADCAST_BYTES
+    return F.broadcast(table) if small else table
 
 
 def similar(
@@ -544,16 +555,24 @@ def similar(
     decided on the whole sets. Copies share one node and are reduced to it before that. The
     component is the smallest key in reach; see ``near_duplicates`` for nulls and repeats.
     """
-    every, _ = written(shingle_sets(docs, key, text, shingle), "shingles")
+    common = _common(docs, text, shingle)
+    every, _ = written(shingle_sets(docs, key, text, shingle, similarity, common), "shingles")
     one = every.groupBy("node").agg(F.min(key).alias("least"), F.count("*").alias("copies"))
     one, _ = written(one, "nodes")
-    twice = one.filter("copies > 1").select(F.col("node").alias("_node"), "least")
-    again = every.select("node", key).join(twice, F.col("node") == F.col("_node"))
-    again = again.filter(F.col(key) != F.col("least")).select(F.col(key).alias("_key")).distinct()
-    again, path = written(again, "copies")
-    sets = _dropping(every, again, path, F.col(key) == F.col("_key"))
+    twice = one.filter("copies > 1").select("node", "least")
+    again = every.select("node", key).join(twice, "node").filter(F.col(key) != F.col("least"))
+    again = again.select(F.col("node").alias("_node"), F.col(key).alias("_key")).distinct()
+    copy = (F.col("node") == F.col("_node")) & (F.col(key) == F.col("_key"))
+    firsts = every.join(_small_side(again, "copies"), copy, "left_anti")
+
+    def sets(nodes: DataFrame) -> DataFrame:
+        keys = one.join(nodes, "node", "left_semi").select(F.col("least").alias("_key")).distinct()
+        chosen = docs.join(
+            _small_side(keys, "chosen"), F.col(key).eqNullSafe(F.col("_key")), "left_semi"
+        )
+        return shingle_sets(chosen, key, text, shingle).select("node", "shingles")
 
-    met, _ = written(_meetings(sets, similarity), "meetings")
+    met, _ = written(_meetings(firsts, similarity), "meetings")
     edges = _verified(met.filter("b IS NOT NULL").select("a", "b").distinct(), sets, similarity)
     crowded = met.filter("b IS NULL").select("shingle", F.col("a").alias("node"), "n", "place")
     if not crowded.isEmpty():

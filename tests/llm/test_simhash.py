@@ -178,3 +178,17 @@ def test_similar_finds_copies_with_a_passage_added_cut_or_replaced(spark):
     assert min(jaccard(sets[k], sets[k + 1]) for k in range(0, len(sets), 2)) >= 0.8
     got = similar_groups(spark, texts)
     assert all(got[k] == got[k + 1] == k for k in range(0, len(texts), 2))
+
+
+def test_similar_verifies_every_pair_of_a_crowded_bucket(spark, monkeypatch):
+    rng = random.Random(4)
+    shared = [f"s{i}" for i in range(180)]
+    texts = [shared + [f"o{rng.randrange(10**9)}" for _ in range(60)] for _ in range(150)]
+    for k in range(0, 150, 5):  # a true pair in the middle of the family
+        texts.append([*texts[k][:-3], "changed", *texts[k][-2:]])
+    texts = [" ".join(t) for t in texts]
+    want = exact_groups(texts)
+    assert len(set(want.values())) == 150
+    # Without the order by frequency all of the family meet in the passage's buckets.
+    monkeypatch.setattr(simhash, "ORDER_SHINGLES", 0)
+    assert similar_groups(spark, texts) == want
