@@ -192,3 +192,16 @@ def test_similar_verifies_every_pair_of_a_crowded_bucket(spark, monkeypatch):
     # Without the order by frequency all of the family meet in the passage's buckets.
     monkeypatch.setattr(simhash, "ORDER_SHINGLES", 0)
     assert similar_groups(spark, texts) == want
+
+
+def test_similar_links_nothing_below_the_similarity(spark):
+    rng = random.Random(6)
+    texts = []
+    for k in range(40):
+        text = [f"u{k}x{i}" for i in range(124)]
+        swap = rng.randint(2, 24)
+        texts += [text, text[:50] + [f"z{k}x{i}" for i in range(swap)] + text[50 + swap :]]
+    texts = [" ".join(t) for t in texts]
+    want = exact_groups(texts)
+    assert 40 < len(set(want.values())) < 80
+    assert similar_groups(spark, texts) == want
