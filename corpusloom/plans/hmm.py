@@ -13,7 +13,6 @@ from corpusloom.plans import sql
 from corpusloom.plans.encoding import LINE_VOCAB
 from corpusloom.plans.registry import query
 from corpusloom.session import materialise, new_table_path
-from corpusloom.sources.corpus import split_lines
 
 STATES = 8
 KEYS = ["id", "line_no"]
@@ -284,9 +283,8 @@ def hmm_converged(t):
 
 @query("hmm_train")
 def hmm_train(t):
-    """Trained to the end: until converged, or for 50 iterations."""
-    lines = hmm.training_lines(split_lines(t.prompts(), "id", "text"))
-    trained, _ = hmm.train(lines, KEYS, states=STATES)
+    """Trained on all lines of documents to the end: until converged, or for 50 iterations."""
+    trained, _ = hmm.train(t.training_lines(), KEYS, states=STATES)
     return parameter_rows(trained)
 
 
