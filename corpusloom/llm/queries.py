@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import (
+    centroids,
     decontamination,
     html,
     licenses,
@@ -262,3 +263,58 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(spans, ",").alias("spans"),
         F.round(F.array_max(F.col("licenses.probability")), 4).alias("probability"),
     )
+
+
+@query
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = centroids.cluster(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    # One row for each of the 16 clusters, so both sides of the join below are small.
+    own = done.rows.groupBy("cluster").agg(
+        F.sum(F.col("distance").cast("decimal(38,0)")).alias("of_cluster")
+    )
+    whole = own.agg(F.sum("of_cluster").cast("bigint").alias("inertia"))
+    digests = spark.createDataFrame(
+        list(enumerate(done.digests())), "cluster int, centroid_sha256 string"
+    )
+    sums = own.select("cluster", F.col("of_cluster").cast("bigint").alias("cluster_inertia"))
+    about = digests.join(sums, "cluster").join(F.broadcast(whole))
+    return done.rows.join(F.broadcast(about), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+def _centroid_sql(rounds: int = centroids.ROUNDS) -> str:
+    dot = """list_sum(list_transform(range(1, 65), lambda j: (v[j] - c[j]) * (v[j] - c[j])))"""
+
+    def assign(r: int) -> str:
+        return f"""a{r} AS (
+  SELECT vec_id, any_value(v) AS v, CAST(arg_min(k, (d, k)) AS INTEGER) AS cluster, CAST(min(d) AS BIGINT) AS distance
+  FROM (SELECT n, vec_id, v, k, {dot} AS d FROM kept, c{r}) GROUP BY n, vec_id)"""
+
+    def move(r: int) -> str:
+        return f"""s{r} AS (
+  SELECT cluster AS k, list(m ORDER BY j) AS c FROM (
+    SELECT cluster, j, CAST((sum(v[j]) - ((sum(v[j]) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m
+    FROM a{r - 1}, unnest(range(1, 65)) AS t(j) GROUP BY cluster, j) GROUP BY cluster),
+c{r} AS (SELECT c{r - 1}.k, coalesce(s{r}.c, c{r - 1}.c) AS c FROM c{r - 1} LEFT JOIN s{r} ON c{r - 1}.k = s{r}.k)"""
+
+    steps = [assign(0)]
+    for r in range(1, rounds + 1):
+        steps += [move(r), assign(r)]
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS n, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(CAST(x AS DOUBLE)))) = 64),
+c0 AS (SELECT CAST(row_number() OVER (ORDER BY h NULLS LAST, v) - 1 AS INTEGER) AS k, v AS c
+       FROM (SELECT sha256('1:' || CAST(vec_id AS VARCHAR)) AS h, v FROM kept ORDER BY h NULLS LAST, v LIMIT 16)),
+{", ".join(steps)}
+SELECT vec_id, cluster, distance,
+  CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON k = cluster
+"""
+
+
+SQL["op13_centroids"] = _centroid_sql()
