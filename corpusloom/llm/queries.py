@@ -16,6 +16,7 @@ from corpusloom.llm import (
     packing,
     quality_model,
     quality_rules,
+    repeats,
     secrets,
     simhash,
     toxicity,
@@ -318,3 +319,26 @@ FROM a{rounds} JOIN c{rounds} ON k = cluster
 
 
 SQL["op13_centroids"] = _centroid_sql()
+
+
+@query
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.drop_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
+SQL["op11_repeats"] = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, list_slice(w, i, i + 19) AS g FROM d, unnest(range(1, len(w) - 18)) AS t(i) WHERE len(w) > 19),
+again AS (SELECT doc_id, i FROM (
+    SELECT doc_id, i, min((doc_id, i)) OVER (PARTITION BY g) AS lowest FROM win) WHERE (doc_id, i) <> lowest),
+gone AS (SELECT doc_id, list(DISTINCT k) AS ks FROM again, unnest(range(i, i + 20)) AS t(k) GROUP BY doc_id),
+kept AS (SELECT d.doc_id, len(w) AS n, coalesce(len(ks), 0) AS n_gone,
+                CASE WHEN ks IS NULL THEN w ELSE list_transform(list_filter(range(1, len(w) + 1),
+                  lambda k: NOT list_contains(ks, k)), lambda k: w[k]) END AS words
+         FROM d LEFT JOIN gone USING (doc_id))
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(n_gone AS BIGINT) AS n_removed,
+       sha256(array_to_string(words, ' ')) AS kept_sha256 FROM kept
+"""
