@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import (
     centroids,
+    conversations,
     decontamination,
     html,
     licenses,
@@ -342,3 +343,98 @@ kept AS (SELECT d.doc_id, len(w) AS n, coalesce(len(ks), 0) AS n_gone,
 SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(n_gone AS BIGINT) AS n_removed,
        sha256(array_to_string(words, ' ')) AS kept_sha256 FROM kept
 """
+
+
+@query
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations")
+    report = conversations.Repair(conversations.damaged(turns)).report()
+    every = turns.select(F.col("conv_id").alias("_conv")).distinct()
+    whole = every.join(report, F.col("_conv").eqNullSafe(F.col("conv_id")), "left")
+    empty = {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit(""), 256)}
+    values = [
+        F.coalesce(F.col(n), empty.get(n, F.lit(0).cast("bigint"))).alias(n)
+        for n, _ in conversations.REPORT
+    ]
+    return whole.select(F.col("_conv").alias("conv_id"), *values)
+
+
+def _crc_table() -> str:
+    """The 256 remainders of the CRC-32 polynomial, reflected."""
+    out = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        out.append(value)
+    return ", ".join(map(str, out))
+
+
+def _conversation_sql() -> str:
+    line, far = "chr(10)", 10**9
+
+    def row(letter: str, cost: str, state: int, out: str | None = None) -> str:
+        text = f"v[{state + 1}].o" if out is None else f"{line} || {out} || v[{state + 1}].o"
+        return f"{{'c': v[{state + 1}].c + {cost}, 'a': '{letter}' || v[{state + 1}].a, 'o': {text}}}"
+
+    def own(state: int) -> str:
+        due = conversations.DUE[state]
+        name = conversations.ROLES[due]
+        legal = f"h = '{name[0]}'" + (" OR h = 's'" if state == 0 else "")
+        target = f"CASE WHEN h = 's' THEN {{}} ELSE {{}} END" if state == 0 else "{1}"
+        kept = target.format(row("K", "p", 1, "role || ':' || t"), row("K", "p", due, "role || ':' || t"))
+        never = f"{{'c': CAST({far} AS BIGINT), 'a': '', 'o': ''}}"
+        return (
+            f"list_min([{row('D', '2', state)}, CASE WHEN must OR NOT ({legal}) THEN {never} ELSE {kept} END, "
+            f"CASE WHEN must THEN {never} ELSE {row('R', 'p + 1', due, f'{chr(39)}{name}:{chr(39)} || t')} END])"
+        )
+
+    def inserted(column: str, state: int) -> str:
+        name = conversations.ROLES[conversations.DUE[state]]
+        return f"{{'c': {column}.c + 5, 'a': 'I' || {column}.a, 'o': {line} || '{name}:' || {column}.o}}"
+
+    start = ", ".join(
+        f"{{'c': CAST({cost} AS BIGINT), 'a': '{'I' * (cost // 5)}', 'o': {out}}}"
+        for cost, out in zip(
+            conversations.END,
+            ["''", f"{line} || 'user:' || {line} || 'assistant:'", f"{line} || 'assistant:'", "''"],
+            strict=True,
+        )
+    )
+    return f"""
+WITH RECURSIVE crc AS (SELECT [{_crc_table()}] AS t),
+named AS (SELECT conv_id, turn, role, text,
+  coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+parts AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(name, ''), lambda x: CAST(unicode(x) AS BIGINT))),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS part FROM named, crc),
+hurt AS (SELECT conv_id, turn, CASE WHEN part = 4 THEN 'user' ELSE role END AS role,
+  CASE WHEN part = 1 THEN '' WHEN part = 2 THEN translate(text, '.!?', '') ELSE text END AS t
+  FROM parts, unnest(CASE WHEN part = 3 THEN [1, 2] ELSE [1] END) AS u(n) WHERE part <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(t)) AS i FROM hurt),
+judged AS (SELECT *, substr(role, 1, 1) AS h, rtrim(t, {_BLANKS}) AS bare,
+  row_number() OVER (PARTITION BY conv_id, role, t ORDER BY i) > 1 AS again,
+  lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed),
+coded AS (SELECT conv_id, i, turn, role, t, h, before, CASE WHEN bare = '' THEN 1 WHEN again THEN 2
+  WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault FROM judged),
+facts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+  count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+  count(*) FILTER (before || h NOT IN ('su', 'ua', 'au')) AS illegal FROM coded GROUP BY conv_id),
+back AS (
+  SELECT conv_id, n AS i, [{start}] AS v FROM facts
+  UNION ALL
+  SELECT conv_id, i - 1, [list_min([b0, {inserted("u", 0)}]), list_min([b1, {inserted("u", 1)}]), u, a] FROM (
+    SELECT conv_id, i, b0, b1, list_min([b2, {inserted("b3", 2)}]) AS u, list_min([b3, {inserted("b2", 3)}]) AS a FROM (
+      SELECT conv_id, i, {own(0)} AS b0, {own(1)} AS b1, {own(2)} AS b2, {own(3)} AS b3 FROM (
+        SELECT b.conv_id, b.i, b.v, c.role, c.t, c.h, c.fault IN (1, 2) AS must, CASE WHEN c.fault = 3 THEN 5 ELSE 0 END AS p
+        FROM back b JOIN coded c ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.i = c.i)))),
+done AS (SELECT conv_id, v[1] AS best FROM back WHERE i = 0),
+ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost,
+  coalesce(best.a, '') AS audit, sha256(coalesce(substr(best.o, 2), '')) AS repaired_sha256
+FROM ids LEFT JOIN facts ON ids.conv_id IS NOT DISTINCT FROM facts.conv_id
+LEFT JOIN done ON ids.conv_id IS NOT DISTINCT FROM done.conv_id
+"""
+
+
+SQL["op12_conversations"] = _conversation_sql()
