@@ -4,13 +4,14 @@ A document is cut into whole windows; what is left of it goes to the fill level
 the sum of the squared counts of partially filled windows smallest, which keeps the levels
 spread so that a later rest finds a window it completes. The counts are an array over the
 levels. Each task packs its own rows: nothing is shuffled. Windows still open at the end
-of a task, or beyond ``MAX_OPEN`` of them, fill each other up by cutting; what is left at
-last is shorter than a window and goes out in sequences of powers of two, so no sequence
-is padded.
+of a task fill each other up by cutting; what is left at last is shorter than a window and
+goes out in sequences of powers of two, so no sequence is padded. Beyond ``max_open`` open
+windows the fullest is completed from the emptiest ones, which bounds what a task holds.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -27,6 +28,9 @@ CAPACITY = 2048
 END_ID = 1
 MAX_OPEN = 2048
 TOKENIZER = "word_bpe_49k.json"
+#: Bytes of text encoded at a time, and of the pieces remembered in each of two generations.
+BLOCK = 1 << 20
+REMEMBERED = 12 << 20
 
 #: Classes of bytes of a lower-cased text; ODD ones need the whole tokenizer.
 SPACE, LETTER, DIGIT, OTHER, ODD = range(5)
@@ -65,10 +69,12 @@ class Encoder:
     White space never is part of a token and nothing composes across it. Between white
     space, runs of letters and of signs up to U+00FF are parted here as the tokenizer does
     and digits stand alone; each piece goes to the tokenizer's own model. A chunk with an
-    apostrophe or any other character goes through the whole tokenizer.
+    apostrophe or any other character goes through the whole tokenizer. A special token of
+    the file written out in a text is that token, as the tokenizer has it, and parts what
+    stands before and after it.
     """
 
-    def __init__(self, path: str | None = None, limit: int = 150_000):
+    def __init__(self, path: str | None = None, limit: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         if path is None:
@@ -76,9 +82,17 @@ class Encoder:
 
             path = public_tokenizers.path(TOKENIZER)
         self.tokenizer = Tokenizer.from_file(path)
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values()):
+            raise ValueError("special tokens that take white space or normal forms are not supported")
+        self.special = {t.content.encode(): array("I", [n]).tobytes() for n, t in added.items()}
+        longest = sorted(self.special, key=len, reverse=True)
+        self.marks = re.compile(b"|".join(map(re.escape, longest))) if longest else None
+        # Special tokens are taken out of a text before it is lower-cased; in what is left,
+        # which is in lower case already, none may be found.
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        self.limit = limit
+        self.limit, self.held = limit, 0
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -88,6 +102,8 @@ class Encoder:
         }
 
     def _encode(self, piece: bytes, plain: bool) -> bytes:
+        if piece in self.special:
+            return self.special[piece]
         if not plain:
             ids = self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids
         elif piece.isascii():
@@ -101,18 +117,34 @@ class Encoder:
         ids = self.young.get(piece)
         if ids is None:
             ids = self.old.get(piece) or self._encode(piece, plain)
-            if len(self.young) >= self.limit:
-                self.old, self.young = self.young, {}
+            # Two bytes objects and their place in the table.
+            self.held += len(piece) + len(ids) + 170
+            if self.held > self.limit:
+                self.old, self.young, self.held = self.young, {}, 0
             self.young[piece] = ids
         return ids
 
+    def _written_out(self, data: np.ndarray, begins: np.ndarray) -> list[tuple[int, int]]:
+        """Where special tokens stand in the texts."""
+        raw = data.tobytes()
+        if self.marks is None or not self.marks.search(raw):
+            return []
+        texts = zip(begins.tolist(), begins[1:].tolist(), strict=False)
+        return [m.span() for a, b in texts for m in self.marks.finditer(raw, a, b)]
+
     def _pieces(self, data: np.ndarray, begins: np.ndarray):
         """Bytes, starts and ends of all pieces, and which of them are plain."""
+        special = self._written_out(data, begins)
+        raw = data
         data, kind = classify(data)
+        for start, end in special:
+            data[start:end], kind[start:end] = raw[start:end], OTHER
         solid = kind != SPACE
         chunk = np.ones(len(data), dtype=bool)
         chunk[1:] = ~solid[:-1]
         chunk[begins[begins < len(data)]] = True
+        edges = np.array([x for span in special for x in span], dtype=np.int64)
+        chunk[edges[edges < len(data)]] = True
         chunk &= solid
         number = np.cumsum(chunk)
         odd = np.zeros(int(number[-1]) + 1 if len(data) else 1, dtype=bool)
@@ -121,6 +153,8 @@ class Encoder:
         new = np.ones(len(data), dtype=bool)
         new[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
         new &= plain
+        for start, end in special:
+            new[start:end] = False
         new |= chunk
         new &= solid
         starts = np.flatnonzero(new)
@@ -169,16 +203,44 @@ class Packer:
             level = full - size
         window = []
         if level:
-            window = self.levels[level].pop()
-            self.counts[level] -= 1
-            self.open -= 1
+            window = self._taken(level)
         window.append(rest)
         if level + size == full:
             return [window]
-        self.levels.setdefault(level + size, []).append(window)
-        self.counts[level + size] += 1
+        self._put(level + size, window)
+        return self._relieve() if self.open > self.max_open else []
+
+    def _taken(self, level: int) -> list:
+        self.counts[level] -= 1
+        self.open -= 1
+        return self.levels[level].pop()
+
+    def _put(self, level: int, window: list) -> None:
+        self.levels.setdefault(level, []).append(window)
+        self.counts[level] += 1
         self.open += 1
-        return self.close() if self.open > self.max_open else []
+
+    def _relieve(self) -> list[list]:
+        """Completes the fullest window from the emptiest; the others stay as they are."""
+        level = int(np.flatnonzero(self.counts)[-1])
+        window = self._taken(level)
+        while level < self.capacity and self.open:
+            low = int(np.flatnonzero(self.counts)[0])
+            spare = self._taken(low)
+            while spare and level < self.capacity:
+                row, start, ids = spare.pop()
+                gap = self.capacity - level
+                window.append((row, start, ids[:gap]))
+                if len(ids) > gap:
+                    spare.append((row, start + gap, ids[gap:]))
+                taken = len(window[-1][2])
+                level, low = level + taken, low - taken
+            if spare:
+                self._put(low, spare)
+        if level < self.capacity:
+            self._put(level, window)
+            return []
+        return [window]
 
     def close(self) -> list[list]:
         """Completes the open windows from each other; the last goes out in powers of two."""
@@ -235,6 +297,7 @@ def pack(
     capacity: int = CAPACITY,
     tokenizer: str | None = None,
     with_ids: bool = False,
+    max_open: int = MAX_OPEN,
 ) -> DataFrame:
     """One row per piece of a document and the sequence it lies in.
 
@@ -242,6 +305,7 @@ def pack(
     ids themselves. A document is its ids and the end id; a null text counts as empty and
     is one end id. Every id of every row lies in one piece; a repeated row or key is packed
     again, and other columns are not read. A sequence is full or as long as a power of two.
+    A task keeps at most ``max_open`` windows open, of ``capacity`` ids at most.
     ``sequence_id`` is the task's number times 2^40 plus a count, so the same input split
     gives the same sequences again. An empty table gives no rows.
     """
@@ -249,7 +313,7 @@ def pack(
     kind = source.schema["key"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, packer = Encoder(tokenizer), Packer(capacity, MAX_OPEN)
+        coder, packer = Encoder(tokenizer), Packer(capacity, max_open)
         sequence = TaskContext.get().partitionId() << 40
         columns: list[list] = [[] for _ in range(7 + with_ids)]
 
@@ -272,7 +336,7 @@ def pack(
             return pa.record_batch(arrays, [*names, *["ids"] * with_ids])
 
         key_type = None
-        for table in blocks(batches, "text"):
+        for table in blocks(batches, "text", BLOCK):
             key_type = table.schema.field("key").type
             ids, begins = coder.encode(table["text"])
             for i, name in enumerate(table["key"].to_pylist()):

@@ -26,7 +26,7 @@ ALNUM[48:58] = ALNUM[97:123] = ALNUM[128:] = True
 VISIBLE = np.ones(256, dtype=bool)
 VISIBLE[[32, 9, 10, 11, 12, 13]] = False
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 BLOCK_ROWS = 100_000
 
 

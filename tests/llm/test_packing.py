@@ -2,10 +2,12 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from corpusloom.llm.packing import CAPACITY, Encoder, Packer, pack
 
@@ -16,16 +18,22 @@ ODD = [
 ]
 
 
+ODD += [
+    "hello <|endoftext|> world", "<|startoftext|><|endoftext|>", "A<|endoftext|>B é<|ENDOFTEXT|>'s", "<|endoftext",
+    "|> x", "don<|endoftext|>'t '<|startoftext|>s12<|endoftext|>3", "é<|ENDOFTEXT|>", "<|<|endoftext|>|> <|EndOfText|>",
+]
+
 ENCODER = Encoder()
+#: The tokenizer as its file has it; nothing in the module sets anything on it.
+UNTOUCHED = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def whole(text):
-    ids = ENCODER.tokenizer.encode(text or "", add_special_tokens=False).ids
-    return [*ids, 1]
+    return [*UNTOUCHED.encode(text or "", add_special_tokens=False).ids, 1]
 
 
 def test_encoder_equals_the_tokenizer():
-    ids, begins = Encoder(limit=7).encode(pa.chunked_array([ODD]))
+    ids, begins = Encoder(limit=1500).encode(pa.chunked_array([ODD]))
     for i, text in enumerate(ODD):
         assert ids[begins[i] : begins[i + 1]].tolist() == whole(text)[:-1], text
 
@@ -37,6 +45,18 @@ def test_encoder_on_any_text(text):
     assert ids.tolist() == whole(text)[:-1]
 
 
+PIECES = ["<|endoftext|>", "<|startoftext|>", "<|", "|>", "<|ENDOFTEXT|>", "a", "É", "'s", " ", "\n", "12", "\u0301", "!"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PIECES) | st.text(max_size=3), max_size=10), min_size=1, max_size=4))
+def test_encoder_with_special_tokens_written_out(texts):
+    texts = ["".join(t) for t in texts]
+    ids, begins = ENCODER.encode(pa.chunked_array([texts]))
+    for i, text in enumerate(texts):
+        assert ids[begins[i] : begins[i + 1]].tolist() == whole(text)[:-1]
+
+
 def check(rows, texts):
     """Every id in one piece, sequences gapless and without padding."""
     pieces, sequences = defaultdict(list), defaultdict(list)
