@@ -276,6 +276,9 @@ SHINGLE_BLOCK = 2 << 20
 ORDER_DOCS, ORDER_SHINGLES = 20_000, 200_000
 #: Members of a bucket up to which all of its pairs are proposed at once.
 CROWDED = 16
+#: Members of a crowded bucket, by place, that are compared with all later ones round by round;
+#: the last round has no end, so that every pair has its turn.
+HUBS = ((1, 3), (3, 9), (9, 27), (27, None))
 #: Pairs that a task holds at a time.
 PAIR_ROWS = 200_000
 #: Dropped keys are broadcast up to this size of their table, which is checked.
@@ -416,7 +419,7 @@ _MET = "a bigint, b bigint, shingle bigint, n int, place int"
 def _meetings(firsts: DataFrame, similarity: float) -> DataFrame:
     """Nodes that share a shingle among the first of both: pairs, and crowded buckets.
 
-    Rows with ``b`` are proposed pairs: all of a small bucket, and those with three members
+    Rows with ``b`` are proposed pairs: all of a small bucket, and those with two members
     of a crowded one. Rows without ``b`` are the members of the crowded buckets.
     """
     emitted = firsts.select("node", "n", F.posexplode("shingles").alias("place", "shingle"))
@@ -436,6 +439,8 @@ def _meetings(firsts: DataFrame, similarity: float) -> DataFrame:
             key, node, n, place = (c[several] for c in (key, node, n, place))
             start, size = np.flatnonzero(_firsts(key)), size[size > 1]
             group = np.repeat(np.arange(len(size)), size)
+            # The members with the least and the largest node: mostly the same ones in all
+            # buckets of a group of copies, so the same pairs are proposed again and again.
             crowded = np.repeat(size, size) > CROWDED
             made = []
             for step in range(1, min(CROWDED, int(size.max()))):
@@ -443,7 +448,7 @@ def _meetings(firsts: DataFrame, similarity: float) -> DataFrame:
                 made.append((left, left + step))
             full = np.flatnonzero(crowded)
             last = start + size - 1
-            for hub in (start, (start + last) // 2, last):
+            for hub in (start, last):
                 made.append((full, hub[group[full]]))
             found = []
             for left, right in made:
@@ -468,11 +473,11 @@ def _meetings(firsts: DataFrame, similarity: float) -> DataFrame:
     return dealt.mapInArrow(work, _MET)
 
 
-def _rest(members: DataFrame, similarity: float) -> DataFrame:
-    """``(a, b)``: pairs of crowded buckets that no links connect so far.
+def _rest(members: DataFrame, similarity: float, low: int, high: int | None) -> DataFrame:
+    """``(a, b)``: the members at places ``low`` to ``high`` of each bucket with all later ones.
 
-    ``members`` has ``shingle, node, n, place, root``; all pairs of different roots in a
-    bucket are proposed, as far as lengths and places allow.
+    ``members`` has ``shingle, node, n, place, root``. Pairs of one root are linked already and
+    left out, as are those that lengths and places rule out.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -481,20 +486,17 @@ def _rest(members: DataFrame, similarity: float) -> DataFrame:
             return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
         names = ["shingle", "node", "n", "place", "root"]
-        for key, *columns in _whole_buckets(batches, names):
+        for key, node, n, place, root in _whole_buckets(batches, names):
             found, held = [], 0
             start = np.flatnonzero(_firsts(key)) if len(key) else []
-            for low, high in zip(start, [*start[1:], len(key)], strict=True):
-                root = columns[3][low:high]
-                if (root == root[0]).all():
+            for first, end in zip(start, [*start[1:], len(key)], strict=True):
+                if (root[first:end] == root[first]).all():
                     continue
-                order = np.argsort(columns[1][low:high], kind="stable")
-                node, n, place, root = (c[low:high][order] for c in columns)
-                ends = np.searchsorted(n, n / similarity + _SLACK, side="right")
-                for k, end in enumerate(ends):
+                last = end if high is None else min(first + high, end)
+                for k in range(first + low, last):
                     other = np.arange(k + 1, end)
-                    fits = (root[other] != root[k]) & _may_link(n, place, k, other, similarity)
-                    other = node[other[fits]]
+                    other = other[root[other] != root[k]]
+                    other = node[other[_may_link(n, place, k, other, similarity)]]
                     if len(other):
                         found.append(np.stack([np.full(len(other), node[k]), other], axis=1))
                         held += len(other)
@@ -550,9 +552,10 @@ def similar(
     Groups are exact: two texts are linked if and only if their sets of hashed shingles
     have the similarity. Of two sets that do, the first n - ceil(similarity * n) + 1 shingles
     in any one order share one, so each text emits those, and all texts of a shingle meet.
-    A small bucket proposes all pairs. A crowded one proposes those with three members first;
-    what the verified links leave apart is then compared in full. Every proposed pair is
-    decided on the whole sets. Copies share one node and are reduced to it before that. The
+    A small bucket proposes all pairs. A crowded one proposes those with two members first and
+    then, round by round, those of more members with all that the verified links leave apart
+    from them, until none is left or all pairs had their turn: a group of copies is linked
+    after a few rounds. Every proposed pair is decided on the whole sets. Copies share one node and are reduced to it before that. The
     component is the smallest key in reach; see ``near_duplicates`` for nulls and repeats.
     """
     common = _common(docs, text, shingle)
@@ -575,11 +578,18 @@ def similar(
     met, _ = written(_meetings(firsts, similarity), "meetings")
     edges = _verified(met.filter("b IS NOT NULL").select("a", "b").distinct(), sets, similarity)
     crowded = met.filter("b IS NULL").select("shingle", F.col("a").alias("node"), "n", "place")
-    if not crowded.isEmpty():
+    for low, high in HUBS if not crowded.isEmpty() else ():
         reached = components(edges).withColumnRenamed("component", "root")
         members = crowded.join(reached, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rest = members.select("shingle", "node", "n", "place", "root")
-        edges = edges.union(_verified(_rest(rest, similarity), sets, similarity))
+        members, path = written(members.select("shingle", "node", "n", "place", "root"), "members")
+        apart = members.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        apart = apart.filter("low <> high").select("shingle")
+        if apart.isEmpty():
+            drop_table(docs.sparkSession, path)
+            break
+        rest = _rest(members.join(apart, "shingle", "left_semi"), similarity, low, high)
+        edges = edges.union(_verified(rest, sets, similarity))
+        drop_table(docs.sparkSession, path)
     return _grouped(every.select(key, "node"), one.select("node", "least"), edges, "node", key)
 
 
