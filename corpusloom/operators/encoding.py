@@ -196,15 +196,17 @@ def decode_rows(id_rows: DataFrame, vocab: DataFrame, keys: list[str], sep: str
     return joined.select(*keys, F.array_join("tokens", sep).alias("text"))
 
 
-def pad_truncate(ids: Column, length: int) -> tuple[Column, Column]:
+def pad_truncate(
+    ids: Column, length: int, bos: int = BOS_ID, pad: int = PAD_ID, eos: int = EOS_ID
+) -> tuple[Column, Column]:
     """Fixed-length ids with begin and end markers, and the attention mask."""
     marked = F.concat(
-        F.array(F.lit(BOS_ID).cast("bigint")),
+        F.array(F.lit(bos).cast("bigint")),
         F.slice(ids, 1, length - 2),
-        F.array(F.lit(EOS_ID).cast("bigint")),
+        F.array(F.lit(eos).cast("bigint")),
     )
     missing = F.lit(length) - F.size(marked)
-    padded = F.concat(marked, F.array_repeat(F.lit(PAD_ID).cast("bigint"), missing))
+    padded = F.concat(marked, F.array_repeat(F.lit(pad).cast("bigint"), missing))
     mask = F.concat(F.array_repeat(F.lit(1), F.size(marked)), F.array_repeat(F.lit(0), missing))
     return padded, mask
 
