@@ -160,3 +160,92 @@ def log_likelihood(layout: Layout, scale: np.ndarray) -> np.ndarray:
         logs = np.log(layout.gather(scale))
     starts = np.cumsum(layout.lengths) - layout.lengths
     return np.add.reduceat(logs, starts)
+
+
+# ------------------------------------------------------------- lines cut into chunks
+#
+# A chunk stands for the product of its steps' matrices: K rows that sum to one, and the
+# logarithm of what each row was divided by. Chunks multiply, so a line's chunks can be
+# worked on anywhere and put together in a tree.
+
+
+def _normalised(rows, logs):
+    total = rows.sum(axis=-1)
+    with np.errstate(divide="ignore"):
+        return rows / _nonzero(total)[..., None], logs + np.log(total)
+
+
+def _weights(logs):
+    """Rows' weights relative to the largest, and the logarithm of that one."""
+    top = logs.max(axis=-1)
+    finite = np.isfinite(top)
+    shifted = np.where(np.isfinite(logs), logs - np.where(finite, top, 0.0)[..., None], -np.inf)
+    return np.exp(shifted), np.where(finite, top, -np.inf)
+
+
+def chunk_products(layout: Layout, e, a, first):
+    """Rows and logarithms of every chunk of a batch; ``first`` marks those that begin a line.
+
+    The first position of a line has no move before it: its matrix is diagonal.
+    """
+    n, k = len(layout.lengths), len(a)
+    rows, logs = np.zeros((n, k, k)), np.zeros((n, k))
+    begins = np.empty(n, dtype=bool)
+    begins[layout.rank] = first
+    for t in layout.steps():
+        m = layout.active[t]
+        here = e[layout.block(t)][:, None, :]
+        if t == 0:
+            moved = np.where(begins[:, None, None], np.eye(k)[None], a[None])
+        else:
+            moved = rows[:m] @ a
+        rows[:m], logs[:m] = _normalised(moved * here, logs[:m])
+    return rows[layout.rank], logs[layout.rank]
+
+
+def composed(rows, logs):
+    """One product of consecutive ones."""
+    whole, total = rows[0], logs[0]
+    for right, right_logs in zip(rows[1:], logs[1:], strict=True):
+        weights, top = _weights(right_logs)
+        whole, total = _normalised((whole * weights) @ right, total + top)
+    return whole, total
+
+
+def entered(rows, logs, left, right):
+    """State probabilities before each of consecutive chunks, and backward values after it."""
+    before, after = [left], [right]
+    for chunk, chunk_logs in zip(rows[:-1], logs[:-1], strict=True):
+        moved = (before[-1] * _weights(chunk_logs)[0]) @ chunk
+        before.append(moved / _nonzero(moved.sum()))
+    for chunk, chunk_logs in zip(rows[:0:-1], logs[:0:-1], strict=True):
+        moved = _weights(chunk_logs)[0] * (chunk @ after[-1])
+        after.append(moved / _nonzero(moved.sum()))
+    return before, after[::-1]
+
+
+def chunk_passes(layout: Layout, e, a, prior, right):
+    """Filtered probabilities, backward values that sum to one, and scale factors.
+
+    ``prior`` has each chunk's state probabilities at its first position before the token is
+    seen, ``right`` its backward values at the last one.
+    """
+    alpha, beta, scale = np.empty_like(e), np.empty_like(e), np.empty(len(e))
+    order = np.empty(len(layout.rank), dtype=np.int64)
+    order[layout.rank] = np.arange(len(order))
+    for t in layout.steps():
+        here = layout.block(t)
+        ahead = prior[order] if t == 0 else alpha[layout.before(t)] @ a
+        joint = ahead * e[here]
+        scale[here] = joint.sum(axis=1)
+        alpha[here] = joint / _nonzero(scale[here])[:, None]
+    following = 0
+    for t in reversed(layout.steps()):
+        here, n = layout.block(t), layout.active[t]
+        if following:
+            moved = (e[layout.block(t + 1)] * beta[layout.block(t + 1)]) @ a.T
+            beta[here.start : here.start + following] = moved
+        beta[here.start + following : here.stop] = right[order[following:n]]
+        beta[here] /= _nonzero(beta[here].sum(axis=1))[:, None]
+        following = n
+    return alpha, beta, scale

@@ -13,11 +13,13 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,9 @@ from corpusloom.functions import tokens as tk
 from corpusloom.functions.text import UNKNOWN
 from corpusloom.operators import encoding as en
 
+# What runs in the tasks travels with the job, so executors need no installation.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: White space as Unicode has it, and the patterns that part a text.
 WHITE = r"\t-\r\x{85}\p{Z}"
 BLANKS = r"\t\x0b-\r\x{85}\p{Z}"

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.operators import hmm
+from corpusloom.operators import hmm, hmm_scan
 from corpusloom.plans import sql
 from corpusloom.plans.encoding import LINE_VOCAB
 from corpusloom.plans.registry import query
@@ -209,6 +209,38 @@ def hmm_xi(t):
     return hmm.transitions(lines, m).withColumn("expected", F.round("expected", 4))
 
 
+#: Short chunks, so that the lines of the test tables have many.
+CUT = 16
+
+
+def scanned(t):
+    m, lines = model_and_lines(t)
+    return hmm_scan.scan(hmm_scan.cut_lines(lines, CUT), m)
+
+
+@query(
+    "hmm_forward_all",
+    f"""WITH {VECTORS}, {scan_sql('fwd', 'es[2:]', scaled(FIRST), scaled(JOINT))}
+      SELECT id, line_no, r AS pos, {state_columns('v', 'alpha')} FROM fwd""",
+)
+def hmm_forward_all(t):
+    """Forward values of every position, lines cut into chunks that a tree puts together."""
+    rows = hmm_scan.positions(scanned(t), STATES, CUT)
+    return rows.select(*KEYS, "pos", *vector_columns("alpha", "alpha"))
+
+
+@query(
+    "hmm_backward_all",
+    f"""WITH {VECTORS}, {scan_sql('bwd', 'list_reverse(es[2:])', UNIT, scaled(BACK))}
+      SELECT b.id, b.line_no, len(es) - 1 - r AS pos, {state_columns('v', 'beta')}
+      FROM bwd b JOIN line_es l ON b.id = l.id AND b.line_no = l.line_no""",
+)
+def hmm_backward_all(t):
+    """Backward values of every position, scaled to sum to one, by the same tree."""
+    rows = hmm_scan.positions(scanned(t), STATES, CUT)
+    return rows.select(*KEYS, "pos", *vector_columns("beta", "beta"))
+
+
 def parameter_rows(m: hmm.Model):
     """``(kind, i, j, p)`` with the emissions by token id."""
     spark = m.b.sparkSession
