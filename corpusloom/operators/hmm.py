@@ -31,6 +31,8 @@ cloudpickle.register_pickle_by_value(kernel)
 BROADCAST_LIMIT = 64 * 2**20
 #: Tokens worked on at once; a longer line is still processed whole.
 BATCH_TOKENS = 2**17
+#: Lines whose emissions are joined together are 2 to this power.
+BATCH_BITS = 7
 
 PI, MOVES, LEAVING, LINES, EMIT = range(5)
 
@@ -156,62 +158,62 @@ def safe_emission(tokens: DataFrame, emissions: DataFrame, states: int) -> DataF
 
 
 def _with_emissions(lines: DataFrame, model: Model, limit: int):
-    """The lines and a function giving a batch's emission rows.
+    """A table and a function that gives its batches of lines with their emission rows.
 
-    A table within ``limit`` travels to the tasks as an array. A larger one is joined to
-    the tokens and regrouped by line, so it never has to fit anywhere whole.
+    Emissions within ``limit`` travel to the tasks as an array. Of a larger table only what
+    a batch of lines needs is joined to it, each distinct token of the batch once, so the
+    table never has to fit anywhere whole and ids are shuffled, not their numbers.
     """
     columns = model.emission_columns()
-    if model.vocab_size * model.states * 8 <= limit:
-        table = np.zeros((model.vocab_size + 1, model.states))
-        table[-1] = model.unseen
+    states, unseen = model.states, model.unseen
+    if model.vocab_size * states * 8 <= limit:
+        table = np.zeros((model.vocab_size + 1, states))
+        table[-1] = unseen
         rows = model.b.select("token_id", *columns).toPandas()
         table[rows["token_id"].to_numpy()] = rows[columns].to_numpy()
         shared = lines.sparkSession.sparkContext.broadcast(table)
-        # Row -1, the last one, is for unseen tokens.
-        return lines, lambda batch, ids: shared.value[ids]
 
-    # A number of its own keeps lines apart whose keys are equal, null or missing; it is
-    # written, so that it stays the same when a lost task runs again.
-    keys = [c for c in lines.columns if c != "ids"]
-    numbered = materialise(lines.withColumn("_line", F.monotonically_increasing_id()), "numbered")
-    rows = numbered.select("_line", *keys, F.posexplode("ids").alias("pos", "token_id"))
-    rows = rows.join(model.b, "token_id", "left").select(
-        "_line",
-        *keys,
-        "pos",
-        "token_id",
-        F.array(
-            *[
-                F.when(F.col("token_id") < 0, F.lit(float(model.unseen))).otherwise(
-                    F.coalesce(c, F.lit(0.0))
-                )
-                for c in columns
-            ]
-        ).alias("e"),
+        def whole(batches):
+            for batch in kernel.cut_batches(batches, BATCH_TOKENS):
+                # Row -1, the last one, is for unseen tokens.
+                yield batch, shared.value[kernel.list_parts(batch, "ids")[1]]
+
+        return lines, whole
+
+    # Consecutive lines share a batch; its number is written, so that it stays the same
+    # when a lost task runs again.
+    number = F.shiftright(F.monotonically_increasing_id(), BATCH_BITS)
+    numbered = materialise(lines.withColumn("_batch", number), "numbered")
+    needed = numbered.select("_batch", F.explode(F.array_distinct("ids")).alias("token_id")).distinct()
+    known = needed.join(model.b, "token_id").groupBy("_batch").agg(
+        F.sort_array(F.collect_list(F.struct("token_id", F.array(*columns).alias("e")))).alias("known")
     )
-    entries = F.sort_array(F.collect_list(F.struct("pos", "token_id", "e")))
-    joined = (
-        rows.groupBy("_line", *keys)
-        .agg(entries.alias("entries"))
-        .select(*keys, F.col("entries.token_id").alias("ids"), F.flatten("entries.e").alias("e"))
+    packed = numbered.groupBy("_batch").agg(F.collect_list(F.struct(*lines.columns)).alias("lines"))
+    joined = packed.join(known, "_batch", "left").select(
+        "lines", F.col("known.token_id").alias("tokens"), F.flatten("known.e").alias("e")
     )
-    states = model.states
-    return joined, lambda batch, ids: kernel.list_parts(batch, "e")[1].reshape(-1, states)
+
+    def joined_batches(batches):
+        for packs in batches:
+            for pack in (packs.slice(i, 1) for i in range(packs.num_rows)):
+                batch = pa.RecordBatch.from_struct_array(pack.column(0).flatten())
+                ids = kernel.list_parts(batch, "ids")[1]
+                yield batch, kernel.looked_up(ids, *(pack.column(c).flatten() for c in (1, 2)), states, unseen)
+
+    return joined, joined_batches
 
 
 def _per_line(lines: DataFrame, model: Model, schema: str, compute, limit: int) -> DataFrame:
     """Run ``compute(layout, emissions)`` on batches and append its columns to the keys."""
     lines = lines.filter(F.size("ids") > 0)
     keys = [c for c in lines.columns if c != "ids"]
-    lines, emissions = _with_emissions(lines, model, limit)
     key_schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in lines.schema if f.name in keys]
+    lines, with_emissions = _with_emissions(lines, model, limit)
 
     def run(batches):
-        for batch in kernel.cut_batches(batches, BATCH_TOKENS):
-            lengths, ids = kernel.list_parts(batch, "ids")
-            layout = kernel.Layout(lengths)
-            e = layout.scatter(emissions(batch, ids))
+        for batch, emitted in with_emissions(batches):
+            layout = kernel.Layout(kernel.list_parts(batch, "ids")[0])
+            e = layout.scatter(emitted)
             kept = [batch.column(batch.schema.get_field_index(k)) for k in keys]
             added = compute(layout, e)
             yield pa.RecordBatch.from_arrays(kept + list(added.values()), keys + list(added))
@@ -313,15 +315,14 @@ def e_step(lines: DataFrame, model: Model, limit: int = BROADCAST_LIMIT) -> Data
     """
     a, pi, k = model.a, model.pi, model.states
     columns = model.emission_columns()
-    lines, emissions = _with_emissions(
-        lines.select("ids") if model.vocab_size * k * 8 <= limit else lines, model, limit
-    )
+    full = lines.select("ids").filter(F.size("ids") > 0)
+    lines, with_emissions = _with_emissions(full, model, limit)
 
     def run(batches):
-        for batch in kernel.cut_batches(batches, BATCH_TOKENS):
+        for batch, emitted in with_emissions(batches):
             lengths, ids = kernel.list_parts(batch, "ids")
             layout = kernel.Layout(lengths)
-            e = layout.scatter(emissions(batch, ids))
+            e = layout.scatter(emitted)
             alpha, scale = kernel.forward(layout, e, a, pi)
             beta = kernel.backward(layout, e, a, scale)
             moves = kernel.expected_transitions(layout, e, a, alpha, beta, scale)
@@ -345,7 +346,7 @@ def e_step(lines: DataFrame, model: Model, limit: int = BROADCAST_LIMIT) -> Data
             )
 
     schema = "kind int, key bigint, " + ", ".join(f"{c} double" for c in columns)
-    partial = lines.filter(F.size("ids") > 0).mapInArrow(run, schema)
+    partial = lines.mapInArrow(run, schema)
     return partial.groupBy("kind", "key").agg(*[F.sum(c).alias(c) for c in columns])
 
 

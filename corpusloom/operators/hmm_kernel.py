@@ -150,6 +150,18 @@ def cut_batches(batches, limit: int):
             first = last
 
 
+def looked_up(ids, tokens, numbers, states: int, unseen: float) -> np.ndarray:
+    """Emission rows of ``ids`` in a sorted list of tokens; 0 for others, ``unseen`` below 0."""
+    tokens = tokens.to_numpy(zero_copy_only=False).astype(np.int64)
+    table = np.vstack([numbers.to_numpy(zero_copy_only=False).reshape(-1, states), np.zeros(states)])
+    at = np.searchsorted(tokens, ids)
+    # A token the table does not have takes the last row.
+    at[np.append(tokens, -1)[at] != ids] = len(tokens)
+    found = table[at]
+    found[ids < 0] = unseen
+    return found
+
+
 def list_column(lengths: np.ndarray, flat: np.ndarray) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators import hmm_kernel as kernel
-from corpusloom.operators.hmm import BATCH_TOKENS, BROADCAST_LIMIT, Model, _with_emissions
+from corpusloom.operators.hmm import BROADCAST_LIMIT, Model, _with_emissions
 from corpusloom.session import materialise
 
 # What runs in the tasks travels with the job, so executors need no installation.
@@ -109,21 +109,21 @@ def _vectors(nodes: DataFrame, pi: np.ndarray) -> DataFrame:
     return _rows(blocks.join(above, ["_seq", "_block"]), down, _VECTORS)
 
 
-def _batched(chunks: DataFrame, emissions, compute, schema: str) -> DataFrame:
+def _batched(chunks: DataFrame, model: Model, limit: int, compute, schema: str) -> DataFrame:
     """``compute(batch, layout, emissions)`` on batches of chunks, beside their other columns."""
-    kept = [f for f in chunks.schema if f.name not in ("ids", "e", "left", "right")]
+    kept = [f for f in chunks.schema if f.name not in ("ids", "left", "right")]
     names = [f.name for f in kept]
+    lines, with_emissions = _with_emissions(chunks, model, limit)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in kernel.cut_batches(batches, BATCH_TOKENS):
-            lengths, ids = kernel.list_parts(batch, "ids")
-            layout = kernel.Layout(lengths)
-            added = compute(batch, layout, layout.scatter(emissions(batch, ids)))
+        for batch, emitted in with_emissions(batches):
+            layout = kernel.Layout(kernel.list_parts(batch, "ids")[0])
+            added = compute(batch, layout, layout.scatter(emitted))
             own = [batch.column(batch.schema.get_field_index(n)) for n in names]
             yield pa.RecordBatch.from_arrays(own + list(added.values()), names + list(added))
 
     own = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept]
-    return chunks.mapInArrow(work, ", ".join([*own, schema]))
+    return lines.mapInArrow(work, ", ".join([*own, schema]))
 
 
 def scan(chunks: DataFrame, model: Model, limit: int = BROADCAST_LIMIT) -> DataFrame:
@@ -157,17 +157,15 @@ def scan(chunks: DataFrame, model: Model, limit: int = BROADCAST_LIMIT) -> DataF
             "beta": kernel.list_column(size, layout.gather(beta).ravel()),
         }
 
-    slim, emissions = _with_emissions(chunks.select("_seq", "_chunk", "ids"), model, limit)
-    made = _batched(slim, emissions, products, "rows array<double>, logs array<double>")
+    slim = chunks.select("_seq", "_chunk", "ids")
+    made = _batched(slim, model, limit, products, "rows array<double>, logs array<double>")
     vectors = _vectors(materialise(made, "products"), pi)
-    with_vectors = chunks.join(vectors, ["_seq", "_chunk"])
-    ready, emissions = _with_emissions(with_vectors, model, limit)
     schema = "log_likelihood double, alpha array<double>, beta array<double>"
-    return _batched(ready, emissions, passes, schema)
+    return _batched(chunks.join(vectors, ["_seq", "_chunk"]), model, limit, passes, schema)
 
 
 def _keys(df: DataFrame) -> list[str]:
-    inner = ("_seq", "_chunk", "ids", "e", "left", "right", "log_likelihood", "alpha", "beta")
+    inner = ("_seq", "_chunk", "ids", "left", "right", "log_likelihood", "alpha", "beta")
     return [c for c in df.columns if c not in inner]
 
 
