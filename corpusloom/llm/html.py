@@ -2,11 +2,13 @@
 
 A page is a sequence of tokens: elements, named by their path of tags and classes, and
 pieces of text under a path. Tokens of one host that occur once on the same pages
-share an occurrence vector and form an equivalence class. Classes that are frequent and
-keep one order on every page are nested, by the stretch of the page that they span, into
-the host's template. What a page holds in its slots, between template tokens, remains;
-slots inside menus, adverts, comments and the like are left out by the names of their
-elements, and where the page marks its article only slots inside it count.
+share an occurrence vector and form an equivalence class. A class is valid by its number
+of tokens and of pages, so a site may have several layouts; valid classes keep one order and
+are nested, by the stretch of the page that they span, into the host's template. What a
+page holds in its slots, between template tokens, remains; slots inside menus, adverts,
+comments and the like are left out by the names of their elements, unless such an element
+holds the article or frames most of the page, and where the page marks its article only slots
+inside it count and nothing inside it is taken for the template.
 
 Occurrence vectors are never gathered. A vector is the exclusive or of one hash for each
 page, made by partial aggregates, so a host of any size is spread over all tasks.
@@ -26,9 +28,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.store import per_host, written
+from corpusloom.llm.words import blocks
 
-#: A template token stands on this share of a host's pages, and on as many pages at least.
-SUPPORT, MIN_PAGES = 0.5, 5
+#: A class stands on this share of a host's pages, and on as many pages at least; it has as
+#: many tokens at least, or else stands on nearly all pages: a quoted sentence is no template.
+SUPPORT, MIN_PAGES, MIN_TOKENS, NEARLY_ALL = 0.15, 5, 2, 0.9
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
@@ -38,8 +42,8 @@ MARKUP = re.compile(
     r"|</?[a-zA-Z!?/][^>]*+>?",
     re.S | re.I,
 )
-NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-NAME = re.compile(r"[a-z]+")
+NAMES = re.compile(r"(?<![-\w:.])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+WORD = re.compile(r"[a-z]+")
 
 #: Elements without content, elements that begin a new block, and what closes what.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -66,19 +70,41 @@ ASIDE_NAMES = set(
     "teaser comment comments disqus discussion replies reply respond widget pagination pager "
     "toolbar complementary contentinfo".split()
 )
+#: Words that may stand beside those in one name: site-footer, but not no-sidebar.
+PLACES = set(
+    "site page top bottom left right main global primary secondary box list area section bar "
+    "container wrapper wrap block links link item items inner outer row group module unit slot "
+    "buttons button form post article content".split()
+)
+#: Frames that wrap whole pages at times: left out only if they hold less than most of the text.
+FRAMES = set("form fieldset header masthead sidebar banner overlay modal popup widget dialog".split())
+#: Left out even if they hold an article: each comment may be marked as one.
+READERS = set("comment comments disqus discussion replies reply respond".split())
+
+
+def words_aside(name: str) -> set[str]:
+    """The words for which a whole class name or id says that an element is left out."""
+    words = set(WORD.findall(name))
+    found = words & ASIDE_NAMES
+    return found if found and words - found <= PLACES else set()
 
 
 class Page:
     """Tokens of a page in order: ``(hash, text, aside, inside article, inside main)``.
 
-    ``text`` is None for an element. Texts between two breaks are one block.
+    ``text`` is None for an element. Texts between two breaks are one block. The work is
+    linear in the page: a closing tag that matches nothing is one step.
     """
 
     __slots__ = ("tokens",)
 
     def __init__(self, source: str):
-        self.tokens: list[tuple] = []
-        stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
+        tokens: list[tuple] = []
+        # Tag, path, path of the block around, inside article, inside main, own region.
+        stack: list[tuple] = [("", 0, 0, False, False, None)]
+        open_tags: Counter = Counter()
+        # What may be left out: first token, end, whether it holds an article, by readers, frame.
+        regions: list[list] = []
         pending: list[str] = []
         at = 0
 
@@ -87,10 +113,15 @@ class Page:
                 text = " ".join("".join(pending).split())
                 pending.clear()
                 if text:
-                    _, path, *where = stack[-1]
-                    block = next((e for e in reversed(stack) if e[0] in BLOCK), stack[0])
-                    key = xxhash.xxh64_intdigest(text, block[1] ^ 1)
-                    self.tokens.append((key, text, *where))
+                    _, _, block, article, main, _ = stack[-1]
+                    tokens.append((xxhash.xxh64_intdigest(text, block ^ 1), text, article, main))
+
+        def pop() -> None:
+            tag, *_, region = stack.pop()
+            open_tags[tag] -= 1
+            if region is not None:
+                flush()
+                regions[region][1] = len(tokens)
 
         for found in MARKUP.finditer(source):
             if found.start() > at:
@@ -105,55 +136,87 @@ class Page:
             if tag in BLOCK:
                 flush()
             if found["close"]:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if stack[depth][0] == tag:
-                        if any(e[0] in BLOCK or e[2] != stack[depth - 1][2] for e in stack[depth:]):
+                if open_tags[tag]:
+                    while True:
+                        top = stack[-1][0]
+                        if top in BLOCK:
                             flush()
-                        del stack[depth:]
-                        break
+                        pop()
+                        if top == tag:
+                            break
                 continue
             if tag in BLOCK and tag != "br":
                 # A new block ends an open paragraph and, in lists and tables, its neighbour.
                 while len(stack) > 1 and stack[-1][0] not in BLOCK:
-                    stack.pop()
+                    pop()
                 if stack[-1][0] == "p":
-                    stack.pop()
+                    pop()
                 ends = CLOSED_BY_ITSELF.get(tag, ())
                 while stack[-1][0] in ends:
-                    stack.pop()
-            names = [
-                name
-                for three in NAMES.findall(found["rest"])
-                for name in NAME.findall("".join(three).lower())
-            ]
-            _, path, aside, article, main = stack[-1]
+                    pop()
+            names = [n for three in NAMES.findall(found["rest"]) for n in "".join(three).lower().split()]
+            _, path, block, article, main, _ = stack[-1]
             own = xxhash.xxh64_intdigest(" ".join([tag, *names]), path)
-            beside = tag in ASIDE or (
-                tag not in ("html", "body", "article", "main")
-                or (tag == "article" and bool({"comment", "comments", "reply"} & set(names)))
-            ) and not ASIDE_NAMES.isdisjoint(names)
-            if beside and not aside:
+            said = set().union(*map(words_aside, names)) if names else set()
+            if tag in ("html", "body", "main") or tag == "article" and not said & READERS:
+                said = set()
+            beside = tag in ASIDE or bool(said)
+            if beside:
                 flush()
+            elif tag in ("article", "main"):
+                for entry in stack:
+                    if entry[5] is not None:
+                        regions[entry[5]][2] = True
             if tag in BLOCK:
-                self.tokens.append((own, None, aside or beside, article, main))
+                tokens.append((own, None, article, main))
             if tag not in VOID and not found["rest"].rstrip().endswith("/"):
+                if beside:
+                    why = said or {tag}
+                    regions.append([len(tokens), None, False, bool(why & READERS), why <= FRAMES])
+                open_tags[tag] += 1
                 stack.append(
                     (
                         tag,
                         own,
-                        aside or beside,
-                        article or tag == "article",
+                        own if tag in BLOCK else block,
+                        article or tag == "article" and not beside,
                         main or tag == "main" or "main" in names,
+                        len(regions) - 1 if beside else None,
                     )
                 )
         if at < len(source):
             pending.append(html.unescape(source[at:]))
         flush()
+        self.tokens = self._judged(tokens, regions)
+
+    @staticmethod
+    def _judged(tokens: list[tuple], regions: list[list]) -> list[tuple]:
+        """The tokens with whether they are left out.
+
+        A region that holds an article is not, unless readers wrote it, nor a frame that holds
+        most of the text.
+        """
+        before = [0]
+        for token in tokens:
+            before.append(before[-1] + len(token[1] or ""))
+        step = [0] * (len(tokens) + 1)
+        for first, end, holds, readers, frame in regions:
+            end = len(tokens) if end is None else end
+            most = 2 * (before[end] - before[first]) > before[-1]
+            if readers or not (holds or frame and most):
+                step[first] += 1
+                step[end] -= 1
+        out, inside = [], 0
+        for (key, text, article, main), change in zip(tokens, step, strict=False):
+            inside += change
+            out.append((key, text, inside > 0, article, main))
+        return out
 
     def texts(self, template: dict[int, int] | None = None) -> list[str]:
         """Texts of the slots: outside the template, inside the article if there is one."""
         fixed = self._fixed(template) if template else frozenset()
-        own = [(k, t) for k, t in enumerate(self.tokens) if t[1] is not None and not t[2]]
+        every = [(k, t) for k, t in enumerate(self.tokens) if t[1] is not None]
+        own = [(k, t) for k, t in every if not t[2]] or every
         for place in (3, 4):
             inside = [(k, t) for k, t in own if t[place]]
             if inside:
@@ -204,21 +267,25 @@ def host_of(url: Column) -> Column:
 def page_tokens(pages: DataFrame, url: str, source: str) -> DataFrame:
     """``(host, token, article, place)``: the tokens that stand once on a page, and token 0.
 
-    ``host`` and ``article`` are hashes, the latter of the page's texts outside the elements
-    that are left out; ``place`` is where the token stands, in ten-thousandths of the page.
+    Texts inside an article that the page marks are not among them. ``host`` and ``article``
+    are hashes, the latter of the page's texts outside the elements left out; ``place`` is where the token stands, in ten-thousandths of the page.
     Token 0 stands for the page itself.
     """
     host = F.xxhash64(host_of(F.col(url)))
     given = pages.select(host.alias("host"), F.col(source).alias("html"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for table in blocks(batches, "html"):
             columns: list[list] = [[], [], [], []]
-            for host, text in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), strict=True):
+            for host, text in zip(table["host"].to_pylist(), table["html"].to_pylist(), strict=True):
                 page = Page(text or "")
                 article = _signed(xxhash.xxh64_intdigest("\n".join(page.texts())))
                 count = Counter(token[0] for token in page.tokens)
-                once = [(t[0], k) for k, t in enumerate(page.tokens) if count[t[0]] == 1]
+                once = [
+                    (t[0], k)
+                    for k, t in enumerate(page.tokens)
+                    if count[t[0]] == 1 and not (t[1] and (t[3] or t[4]))
+                ]
                 columns[0] += [host] * (len(once) + 1)
                 columns[1] += [0, *(_signed(token) for token, _ in once)]
                 columns[2] += [article] * (len(once) + 1)
@@ -236,8 +303,10 @@ def templates(
 
     ``template`` is an array of (token, class, pages, place). Pages of one article count
     once. A page counts for a token that stands on it exactly once, so that every token
-    has one place in the order. A class is valid if that holds on ``support`` of the host's
-    articles and on ``MIN_PAGES`` of them. A host has at most (tokens of a page) / ``support`` of them.
+    has one place in the order. Tokens of one vector are a class; it is valid if it stands
+    on ``support`` of the host's articles and ``MIN_PAGES`` of them, and has ``MIN_TOKENS``
+    tokens or stands on nearly all. A host has at most (tokens of a page) / ``support`` of
+    them, so one host's template is a bounded list.
     """
     single = page_tokens(pages, url, source).groupBy("host", "token", "article").agg(
         F.min("place").alias("place")
@@ -252,7 +321,10 @@ def templates(
     frequent = often.filter("token <> 0").join(totals, "host")
     frequent = frequent.filter(F.col("pages") >= support * F.col("total"))
     row = F.struct("place", "token", F.col("vector").alias("class"), "pages")
-    return frequent.groupBy("host").agg(F.array_sort(F.collect_list(row)).alias("template"))
+    classes = frequent.groupBy("host", "vector", "pages", "total").agg(F.collect_list(row).alias("rows"))
+    whole = (F.size("rows") >= MIN_TOKENS) | (F.col("pages") >= NEARLY_ALL * F.col("total"))
+    valid = classes.filter(whole).groupBy("host").agg(F.collect_list("rows").alias("classes"))
+    return valid.select("host", F.array_sort(F.flatten("classes")).alias("template"))
 
 
 def nest(template: list) -> list[tuple]:
@@ -288,8 +360,10 @@ def main_text(
     Character references are decoded; white space inside a block is one space; blocks come
     in page order, joined by line feeds. Null and empty pages and pages without text give
     an empty text. A page that would lose all of its article to the template (all pages of
-    its host tell the same) keeps it. Hosts with fewer than ``MIN_PAGES`` different articles
-    have no template. Every row comes back once, with its other columns; a column of the
+    its host tell the same) keeps it, and a page all of whose text is left out by names keeps
+    that. Hosts with fewer than ``MIN_PAGES`` different articles
+    have no template. Two paragraphs that a share of a host's unmarked articles quote together
+    are taken for a layout. A page of any length or depth is worked on whole. Every row comes back once, with its other columns; a column of the
     new name is replaced.
     """
     kept = pages.drop(column) if column not in (url, source) else pages
@@ -308,10 +382,10 @@ def main_text(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks: dict[tuple, dict[int, int]] = {}
-        for batch in batches:
+        for table in blocks(batches, source):
             texts = []
             for text, template in zip(
-                batch[source].to_pylist(), batch["_template"].to_pylist(), strict=True
+                table[source].to_pylist(), table["_template"].to_pylist(), strict=True
             ):
                 known = None
                 if template:
@@ -322,8 +396,8 @@ def main_text(
                         ranks[key] = {t & (1 << 64) - 1: k for k, t in enumerate(template)}
                     known = ranks[key]
                 texts.append("\n".join(Page(text or "").texts(known)))
-            made = pa.array(texts, type=batch.schema.field(at).type)
-            yield batch.set_column(at, batch.schema.field(at), made)
+            made = pa.array(texts, type=table.schema.field(at).type)
+            yield from table.set_column(at, table.schema.field(at), made).to_batches()
 
     done = state.mapInArrow(work, state.schema)
     return done.select(

@@ -21,6 +21,16 @@ CASES = {
     "<div class='cookie-notice'>We use cookies</div><div class='download heading'>kept</div>": "kept",
     "<p title='a>b'>attr</p><p>un<b>closed</p><p>end": "attr\nunclosed\nend",
     "no markup at all": "no markup at all",
+    "<div class='content with-sidebar'><p>kept</p></div>": "kept",
+    "<div id='page' class='no-sidebar'><article>kept</article></div>": "kept",
+    "<section class='related-work'><p>kept</p></section>": "kept",
+    "<div class='post-header-fixed'><main>kept</main></div>": "kept",
+    "<div class='comments-off'><p>kept</p></div><div data-id='share'>too</div>": "kept\ntoo",
+    "<div class='header'><article><p>kept</p></article></div>": "kept",
+    "<form><div class='sidebar'>s</div><p>a long enough story</p></form>": "a long enough story",
+    "<div class='site-footer'>gone</div><p>kept for its length</p>": "kept for its length",
+    "<p>Short</p><div class='comments'><p>a very long comment of a reader</p></div>": "Short",
+    "<div class='sidebar'>all there is</div>": "all there is",
     "": "", "<html></html>": "", " \n ": "", "<": "<", "<p": "", "<!--": "",
 }
 
@@ -48,6 +58,43 @@ def test_template_is_deduced_without_names(spark):
     assert {r.page_id: r.text for r in got} == {k: f"Story {k} tells\nmore of {k}" for k in range(12)}
 
 
+def texts_of(spark, rows, **options):
+    done = html.main_text(spark.createDataFrame(rows, SCHEMA).repartition(3), **options)
+    return {r.page_id: r.text for r in done.collect()}
+
+
+def test_three_layouts_on_one_host(spark):
+    """Each layout stands on a third of the pages; without the template all of it stays."""
+    rows = pages(
+        60,
+        lambda k: f"<div>Menu of layout {k % 3}</div><div><p>Story {k}</p><p>more of {k}</p></div>"
+        f"<div>Imprint of layout {k % 3}</div>",
+    )
+    assert texts_of(spark, rows) == {k: f"Story {k}\nmore of {k}" for k in range(60)}
+    assert "Menu of layout 1" in texts_of(spark, rows, support=2.0)[1]
+
+
+def test_a_quoted_sentence_stays(spark):
+    quote = "<p>To be or not to be.</p>"
+    rows = pages(20, lambda k: f"<div>Top</div><div><p>Story {k}</p>{quote * (k % 2)}<p>end {k}</p></div>")
+    text = texts_of(spark, rows)
+    assert text[3] == "Story 3\nTo be or not to be.\nend 3" and text[4] == "Story 4\nend 4"
+
+
+def test_nothing_inside_a_marked_article_is_template(spark):
+    rows = pages(12, lambda k: f"<div>Top</div><article><p>Same words</p><p>Same end</p><p>{k}</p></article>")
+    assert texts_of(spark, rows)[7] == "Same words\nSame end\n7"
+
+
+def test_cost_is_linear_in_the_page():
+    import time
+
+    begin = time.process_time()
+    html.Page("<span>" * 20_000 + "x</b>" * 20_000)
+    html.Page("<div>" * 20_000 + "<p>y</i>" * 20_000)
+    assert time.process_time() - begin < 3
+
+
 def test_small_hosts_and_copied_articles_lose_nothing(spark):
     few = pages(4, lambda k: f"<div>Same words</div><p>Story {k}</p>")
     copies = [(100 + k, f"https://other.example.org/{k}", "<p>One story</p><p>copied</p>") for k in range(30)]
