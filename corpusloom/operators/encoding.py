@@ -196,6 +196,54 @@ def decode_rows(id_rows: DataFrame, vocab: DataFrame, keys: list[str], sep: str
     return joined.select(*keys, F.array_join("tokens", sep).alias("text"))
 
 
+def decode_texts(
+    df: DataFrame,
+    keys: list[str],
+    ids: str,
+    vocab: DataFrame,
+    sep: str = "",
+    broadcast_limit: int = BROADCAST_LIMIT,
+) -> DataFrame:
+    """``keys`` and the ``text`` of each id array, where rows stay rows.
+
+    An id outside the vocabulary reads ``<unk>``; an empty or null array is an empty text.
+    A vocabulary within ``broadcast_limit`` bytes is looked up in the tasks; of a larger one
+    the tokens are joined, and rows without ids come back by their number.
+    """
+    size = vocab.agg(
+        F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("token")), F.lit(0)).alias("bytes")
+    ).first()
+    if size["bytes"] + 16 * size["n"] > broadcast_limit:
+        numbered = materialise(
+            df.select(*keys, ids).withColumn("_row", F.monotonically_increasing_id()), "numbered"
+        )
+        rows = numbered.select("_row", F.posexplode(ids).alias("pos", "token_id"))
+        texts = decode_rows(rows, vocab, ["_row"], sep)
+        joined = numbered.select("_row", *keys).join(texts, "_row", "left")
+        return joined.select(*keys, F.coalesce("text", F.lit("")).alias("text"))
+    table = vocab.select("token_id", "token").toArrow()
+    shared = df.sparkSession.sparkContext.broadcast(
+        (table["token_id"].combine_chunks(), table["token"].combine_chunks())
+    )
+
+    def run(batches):
+        known, tokens = shared.value
+        for batch in batches:
+            column = batch.column(len(keys))
+            at = pc.index_in(column.flatten(), value_set=known)
+            found = pc.fill_null(tokens.take(at), UNKNOWN)
+            lengths = pc.fill_null(pc.list_value_length(column), 0)
+            ends = np.concatenate([[0], np.cumsum(lengths.to_numpy(zero_copy_only=False))])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)
+            done = [batch.column(k) for k in range(len(keys))]
+            yield pa.RecordBatch.from_arrays([*done, pc.binary_join(lists, sep)], [*keys, "text"])
+
+    kinds = dict(df.dtypes)
+    schema = [f"`{k}` {kinds[k]}" for k in keys] + ["text string"]
+    cut = df.select(*keys, F.col(ids).cast("array<bigint>"))
+    return cut.mapInArrow(run, ", ".join(schema))
+
+
 def pad_truncate(
     ids: Column, length: int, bos: int = BOS_ID, pad: int = PAD_ID, eos: int = EOS_ID
 ) -> tuple[Column, Column]:

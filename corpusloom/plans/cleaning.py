@@ -216,5 +216,5 @@ def char_encode(t):
 def detokenize(t):
     docs = t.documents()
     vocab = en.build_char_vocab(docs, "content")
-    rows = en.encode_rows(tk.token_rows(docs, ["id"], "content", tk.chars), vocab)
-    return en.decode_rows(rows, vocab, ["id"])
+    coded = en.encode_texts(docs, ["id"], {"ids": "content"}, vocab, tk.chars)
+    return en.decode_texts(coded, ["id"], "ids", vocab)

@@ -133,3 +133,13 @@ def test_samples(spark):
     words = spark.createDataFrame([("a",), ("b",), ("c",)], "word string")
     picks = splits.pick_with_replacement(words, ["word"], df, ["id"]).groupBy("word").count().collect()
     assert len(picks) == 3 and all(280 < r["count"] < 390 for r in picks)
+
+
+@pytest.mark.parametrize("limit", [en.BROADCAST_LIMIT, 0])
+def test_decode_texts_keeps_rows_without_ids(spark, limit):
+    rows = [(1, [1, 0]), (2, []), (None, None), (1, [0]), (3, [9, 1])]
+    df = spark.createDataFrame(rows, "id int, ids array<bigint>")
+    vocab = spark.createDataFrame([("a", 0), ("b", 1)], "token string, token_id bigint")
+    got = en.decode_texts(df, ["id"], "ids", vocab, "-", limit).collect()
+    want = [(1, "b-a"), (2, ""), (None, ""), (1, "a"), (3, "<unk>-b")]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
