@@ -23,6 +23,7 @@ CHECKED = [
     "top_k_filter",
     "ngram_repetition",
     "perplexity",
+    "perplexity_kneser_ney",
     "hmm_em_step",
     "hmm_viterbi",
 ]
