@@ -8,6 +8,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Bits of md5 that make a draw.
+DRAW_BITS = 52
+
+
+def draw_bits(seed: int, *keys) -> Column:
+    """The draw behind ``uniform`` as an integer, in the same order."""
+    columns = [_escaped(F.col(k) if isinstance(k, str) else k) for k in keys]
+    text = F.concat_ws("|", F.lit(str(seed)), *columns)
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("bigint")
+
+
 def uniform(seed: int, *keys) -> Column:
     """A number in (0, 1) that depends only on ``seed`` and ``keys``.
 
@@ -15,10 +26,7 @@ def uniform(seed: int, *keys) -> Column:
     engine can reproduce it. Different keys never share their text: bars and backslashes
     inside one are escaped, and null has a text of its own.
     """
-    columns = [_escaped(F.col(k) if isinstance(k, str) else k) for k in keys]
-    text = F.concat_ws("|", F.lit(str(seed)), *columns)
-    bits = F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("bigint")
-    return (bits.cast("double") + 0.5) / float(2**52)
+    return (draw_bits(seed, *keys).cast("double") + 0.5) / float(2**DRAW_BITS)
 
 
 def _escaped(key: Column) -> Column:

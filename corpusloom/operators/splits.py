@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import math
 from fractions import Fraction
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.det import uniform
+from corpusloom.functions.det import draw_bits, uniform
 from corpusloom.operators.indexing import with_index
+from corpusloom.operators.selection import cuts, mark_first, take_first
 
 
 def split_rows(
@@ -39,21 +39,24 @@ def split_rows_exact(
     test_size: float = 0.1,
     seed: int = 42,
 ) -> DataFrame:
-    """As ``split_rows`` with exact sizes, rounded up, over the distinct ``keys``."""
-    drawn = df.select(*keys).distinct().withColumn("_draw", uniform(seed, *keys))
-    placed = with_index(drawn, ["_draw", *keys], "_idx")
-    n = placed.count()
+    """As ``split_rows`` with exact sizes, rounded up, over the distinct ``keys``.
+
+    The draws at the two borders are found by counting, so each row is placed by its own
+    draw without a sort or a join. Keys whose draws collide right at a border go by key.
+    """
     test, valid = Fraction(str(test_size)), Fraction(str(valid_size))
-    n_test = math.ceil(n * test)
-    n_valid = math.ceil((n - n_test) * valid / (1 - test))
-    split = (
-        F.when(F.col("_idx") < n_test, "test")
-        .when(F.col("_idx") < n_test + n_valid, "valid")
-        .otherwise("train")
-    )
-    drawn_split = placed.select(*[F.col(k).alias(f"_{k}") for k in keys], split.alias("split"))
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return df.join(drawn_split, reduce(Column.__and__, same)).drop(*[f"_{k}" for k in keys])
+
+    def ends(n: int) -> list[int]:
+        n_test = math.ceil(n * test)
+        return [n_test, n_test + math.ceil((n - n_test) * valid / (1 - test))]
+
+    placed = df.withColumn("_draw", draw_bits(seed, *keys))
+    drawn = placed.select(*keys, "_draw").distinct()
+    borders = cuts(drawn, ends)
+    for name, (end, cut) in zip(("_in_test", "_in_valid"), borders, strict=True):
+        placed = mark_first(placed, drawn, keys, end, cut, name)
+    split = F.when(F.col("_in_test"), "test").when(F.col("_in_valid"), "valid").otherwise("train")
+    return placed.withColumn("split", split).drop("_draw", "_in_test", "_in_valid")
 
 
 def split_select(df: DataFrame, name: str) -> DataFrame:
@@ -68,12 +71,13 @@ def sample_fraction(df: DataFrame, keys: list[str], fraction: float, seed: int =
 def sample_fraction_exact(
     df: DataFrame, keys: list[str], fraction: float, seed: int = 42
 ) -> DataFrame:
-    """A sample without replacement of exactly ``round(fraction * rows)`` rows."""
-    placed = with_index(
-        df.withColumn("_draw", uniform(seed, *keys)), ["_draw", *keys], "_idx"
-    )
-    size = round(fraction * placed.count())
-    return placed.filter(F.col("_idx") < size).drop("_draw", "_idx")
+    """A sample without replacement of exactly ``round(fraction * rows)`` rows.
+
+    The draw of the last row is found by counting; nothing is sorted.
+    """
+    placed = df.withColumn("_draw", draw_bits(seed, *keys))
+    ((end, cut),) = cuts(placed, lambda n: [round(fraction * n)])
+    return take_first(placed, end, cut).drop("_draw")
 
 
 def pick_with_replacement(
