@@ -343,14 +343,29 @@ def _common(docs: DataFrame, text: str, shingle: int) -> tuple[np.ndarray, np.nd
     return known[order], np.array([r["count"] for r in rows], dtype=np.int64)[order]
 
 
+def _parities(row: np.ndarray, hashes: np.ndarray, n: np.ndarray) -> pa.ListArray:
+    """For each row a bitmap, in 64-bit words, of whether an odd number of its hashes falls on a bit.
+
+    It has as many bits as the row has hashes, rounded up to a power of two of 64 at least; a
+    hash falls on its lowest bits, so xor of the two halves gives the bitmap of half the size.
+    """
+    width = 1 << np.ceil(np.log2(np.maximum(n, 64))).astype(np.int64)
+    begin = np.concatenate([[0], np.cumsum(width)])
+    place = begin[row] + (hashes & (width[row] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(place, minlength=begin[-1]) & 1
+    words = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+    return pa.ListArray.from_arrays(pa.array((begin // 64).astype(np.int32)), pa.array(words))
+
+
 def shingle_sets(
     docs: DataFrame, key: str, text: str, shingle: int = 5, similarity: float = 0.0, common=None
 ) -> DataFrame:
-    """``(key, node, n, shingles)``: each text's n distinct hashed shingles, in one order for all.
+    """``(key, node, n, bits, shingles)``: a text's n distinct hashed shingles, in one order for all.
 
     Shingles that are ``common`` in a sample come last, the commonest at the end, and the rest
-    goes by hash. ``node`` is a hash of the set; texts without words are alike. With a
-    similarity only the first shingles are listed, of which two so similar sets share one.
+    goes by hash. ``node`` is a hash of the set; texts without words are alike. ``bits`` are
+    the parities of ``_parities``. With a similarity only the first shingles are listed, of
+    which two so similar sets share one.
     """
     none = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
     sent = docs.sparkSession.sparkContext.broadcast(common or none)
@@ -372,6 +387,7 @@ def shingle_sets(
             begin = np.concatenate([[0], np.cumsum(n)])
             total = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes + _ONE), dtype=np.uint64)])
             node = mix(total[begin[1:]] - total[begin[:-1]] + mix(n.astype(np.uint64)))
+            bits = _parities(row, hashes, n)
             if similarity:
                 most = n - np.ceil(n * similarity - _SLACK).astype(np.int64) + (n > 0)
                 hashes = hashes[np.arange(len(row)) - begin[row] < most[row]]
@@ -380,12 +396,12 @@ def shingle_sets(
                 pa.array(begin.astype(np.int32)), pa.array(hashes.view(np.int64))
             )
             made = {"key": table["key"], "node": pa.array(node.view(np.int64))}
-            made |= {"n": pa.array(n.astype(np.int32)), "shingles": lists}
+            made |= {"n": pa.array(n.astype(np.int32)), "bits": bits, "shingles": lists}
             yield from pa.table(made).to_batches(max_chunksize=1000)
 
     kind = source.schema["key"].dataType.simpleString()
-    made = source.mapInArrow(work, f"key {kind}, node bigint, n int, shingles array<bigint>")
-    return made.withColumnRenamed("key", key)
+    columns = f"key {kind}, node bigint, n int, bits array<bigint>, shingles array<bigint>"
+    return source.mapInArrow(work, columns).withColumnRenamed("key", key)
 
 
 def _whole_buckets(
@@ -510,13 +526,46 @@ def _rest(members: DataFrame, similarity: float, low: int, high: int | None) ->
     return dealt.mapInArrow(work, "a bigint, b bigint").distinct()
 
 
-def _verified(pairs: DataFrame, sets, similarity: float) -> DataFrame:
+def _within_reach(pairs: DataFrame, every: DataFrame, similarity: float) -> DataFrame:
+    """The pairs that their bitmaps do not rule out: no pair of the similarity is lost.
+
+    Sets of m and n shingles have the similarity s if and only if at most (1 - s) / (1 + s) of
+    m + n stand in one of them only. A bit in which the bitmaps differ has an odd number of those,
+    at least one, so more such bits than that rule the pair out. Bitmaps of sizes further
+    apart than one halving rule out nothing.
+    """
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    known = every.select("node", "n", "bits").join(nodes, "node", "left_semi")
+    known = known.dropDuplicates(["node"])
+    left = known.toDF("a", "_m", "_mine")
+    right = known.toDF("b", "_n", "_theirs")
+
+    def folded(bits, other):
+        half = F.floor(F.size(bits) / 2).cast("int")
+        halves = F.zip_with(
+            F.slice(bits, 1, half), F.slice(bits, half + 1, half), lambda x, y: x.bitwiseXOR(y)
+        )
+        return F.when(F.size(bits) == 2 * F.size(other), halves).otherwise(bits)
+
+    mine, theirs = folded(F.col("_mine"), F.col("_theirs")), folded(F.col("_theirs"), F.col("_mine"))
+    differing = F.zip_with(mine, theirs, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    odd = F.aggregate(differing, F.lit(0), lambda total, x: total + x)
+    most = F.lit((1 - similarity) / (1 + similarity)) * (F.col("_m") + F.col("_n")) + _SLACK
+    ratio = F.least("_m", "_n") >= F.lit(similarity) * F.greatest("_m", "_n") - _SLACK
+    joined = pairs.join(left, "a").join(right, "b").filter(ratio)
+    return joined.filter(F.coalesce(odd <= most, F.lit(True))).select("a", "b")
+
+
+def _verified(pairs: DataFrame, every: DataFrame, sets, similarity: float) -> DataFrame:
     """The pairs whose shingles have the similarity, counted on the whole sets; written.
 
-    ``sets`` gives ``(node, shingles)`` of a table of nodes: only those of the pairs travel.
+    The bitmaps of ``every`` rule out most of those that do not. ``sets`` gives
+    ``(node, shingles)`` of a table of nodes: only those of the pairs left travel.
     """
     spark = pairs.sparkSession
-    pairs, path = written(pairs, "pairs")
+    proposed, proposed_path = written(pairs, "proposed")
+    pairs, path = written(_within_reach(proposed, every, similarity), "pairs")
+    drop_table(spark, proposed_path)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     whole, whole_path = written(sets(nodes), "sets")
     few = F.broadcast(pairs) if size_on_disk(spark, path) <= BROADCAST_BYTES else pairs
@@ -555,7 +604,8 @@ def similar(
     A small bucket proposes all pairs. A crowded one proposes those with two members first and
     then, round by round, those of more members with all that the verified links leave apart
     from them, until none is left or all pairs had their turn: a group of copies is linked
-    after a few rounds. Every proposed pair is decided on the whole sets. Copies share one node and are reduced to it before that. The
+    after a few rounds. Every proposed pair is decided on the whole sets, unless bitmaps of them
+    show that it falls short. Copies share one node and are reduced to it before that. The
     component is the smallest key in reach; see ``near_duplicates`` for nulls and repeats.
     """
     common = _common(docs, text, shingle)
@@ -576,7 +626,8 @@ def similar(
         return shingle_sets(chosen, key, text, shingle).select("node", "shingles")
 
     met, _ = written(_meetings(firsts, similarity), "meetings")
-    edges = _verified(met.filter("b IS NOT NULL").select("a", "b").distinct(), sets, similarity)
+    near = met.filter("b IS NOT NULL").select("a", "b").distinct()
+    edges = _verified(near, every, sets, similarity)
     crowded = met.filter("b IS NULL").select("shingle", F.col("a").alias("node"), "n", "place")
     for low, high in HUBS if not crowded.isEmpty() else ():
         reached = components(edges).withColumnRenamed("component", "root")
@@ -588,7 +639,7 @@ def similar(
             drop_table(docs.sparkSession, path)
             break
         rest = _rest(members.join(apart, "shingle", "left_semi"), similarity, low, high)
-        edges = edges.union(_verified(rest, sets, similarity))
+        edges = edges.union(_verified(rest, every, sets, similarity))
         drop_table(docs.sparkSession, path)
     return _grouped(every.select(key, "node"), one.select("node", "least"), edges, "node", key)
 

@@ -205,3 +205,29 @@ def test_similar_links_nothing_below_the_similarity(spark):
     want = exact_groups(texts)
     assert 40 < len(set(want.values())) < 80
     assert similar_groups(spark, texts) == want
+
+
+def test_bitmaps_rule_out_no_pair_of_the_similarity(spark):
+    rng = random.Random(12)
+    texts = []
+    for n in (30, 70, 140, 290, 600):
+        for similarity in (0.3, 0.5, 0.8, 0.9):
+            text = [f"w{rng.randrange(10**9)}" for _ in range(n)]
+            longer = text + [f"w{rng.randrange(10**9)}" for _ in range(int((n - 4) / similarity) - n + 4)]
+            texts += [text, longer]
+    texts = [" ".join(t) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    every = simhash.shingle_sets(docs, "doc_id", "text").cache()
+    node = {r.doc_id: r.node for r in every.collect()}
+    sets = {node[k]: plain_shingles(t) for k, t in enumerate(texts)}
+    nodes = sorted(sets)
+    pairs = [(a, b) for a in nodes for b in nodes if a < b]
+    proposed = spark.createDataFrame(pairs, "a bigint, b bigint")
+    for similarity in (0.3, 0.8):
+        kept = simhash._within_reach(proposed, every, similarity).collect()
+        kept = {tuple(r) for r in kept}
+        true = {(a, b) for a, b in pairs if jaccard(sets[a], sets[b]) >= similarity}
+        assert true and true <= kept
+    # At 0.8 next to nothing but those is left.
+    assert len(kept) <= len(true) + 3
+    every.unpersist()
