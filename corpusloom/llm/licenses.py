@@ -1,6 +1,8 @@
 """Licence notices in texts: a trained classifier of paragraphs, confirmed by templates.
 
-A paragraph is a line. Its features are the word n-grams, up to three words, that occur in
+A paragraph is a line, a sentence of a line that names several families, or a run of
+neighbouring lines that are dense in word pairs of the templates: a notice that is wrapped,
+with comment signs or without. Its features are the word n-grams, up to three words, that occur in
 the templates of any family; the trained softmax regression over the families and an
 unknown class sees nothing else, so prose has next to no features. Its probabilities are
 calibrated by a temperature on held-out rows. A paragraph predicted as a family is reported
@@ -111,6 +113,9 @@ GRAMS = 3
 NEGATIVES, VARIANTS = 4000, 40
 #: A family is predicted at this probability, and confirmed at this share of a template.
 PROBABILITY, SIMILARITY = 0.5, 0.6
+#: Word pairs of templates for each word of a line from which it is dense, and the words of a
+#: run of lines that are judged together, at most, for each word of the longest template.
+DENSE, LONGEST = 0.4, 1.5
 
 
 def words_in(text: str) -> list[bytes]:
@@ -235,48 +240,129 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
 SPAN = "array<struct<family:string,line:int,start:int,end:int,probability:double,similarity:double>>"
 
 
+class _Paragraphs:
+    """Lines of a block of texts, what a model judges of them, and which are dense."""
+
+    def __init__(self, known: Model, data: np.ndarray, begins: np.ndarray):
+        self.known, self.data = known, data
+        words = self.words = Words(data, begins, ALNUM, LOWER)
+        self.codes, self.distinct = words.codes()
+        lined = np.ones(256, dtype=bool)
+        lined[10] = False
+        lines = self.lines = Words(data, begins, lined)
+        self.row = np.repeat(np.arange(len(begins) - 1), lines.counts)
+        self.first = np.searchsorted(words.starts, lines.starts)
+        self.last = np.searchsorted(words.starts, lines.ends)
+        place = {word: i for i, word in enumerate(sorted(known.words))}
+        told = np.array([place.get(w, -1) for w in self.distinct], dtype=np.int64)[self.codes]
+        self.told = np.concatenate([[0], np.cumsum(told >= 0)])
+        every = [pair.split(b" ") for _, template in known.templates for pair in template]
+        wanted = np.unique([place[a] * len(place) + place[b] for a, b in every])
+        hit = np.zeros(len(told) + 1, dtype=bool)
+        if len(told) > 1:
+            hit[:-2] = np.isin(told[:-1] * len(place) + told[1:], wanted)
+            hit[:-2] &= (told[:-1] >= 0) & (told[1:] >= 0)
+        ends = words.first[1:] - 1
+        hit[ends[ends >= 0]] = False
+        before = np.concatenate([[0], np.cumsum(hit)])
+        entered = hit[self.first - 1] & (self.first > 0)
+        hits = before[self.last] - before[self.first] + entered
+        self.dense = (hits > 0) & (hits >= DENSE * (self.last - self.first))
+        self.longest = LONGEST * max(len(template) + 1 for _, template in known.templates)
+
+    def judge(self, first: int, last: int) -> tuple[int, float, float]:
+        return self.known.judge([self.distinct[c] for c in self.codes[first:last]])
+
+    def sentences(self, line: int) -> list[tuple]:
+        """Notices in sentences of a line, if they are of several families."""
+        start, end = int(self.lines.starts[line]), int(self.lines.ends[line])
+        part = self.data[start:end]
+        stops = np.flatnonzero((part[:-1] == ord(".")) & (part[1:] == ord(" "))) + 1
+        found = []
+        for a, b in zip([0, *(stops + 1).tolist()], [*stops.tolist(), end - start], strict=True):
+            first, last = np.searchsorted(self.words.starts, [start + a, start + b])
+            if self.told[last] - self.told[first] >= 2:
+                family, *shares = self.judge(first, last)
+                if family != UNKNOWN:
+                    found.append((line, start + a, start + b, family, *shares))
+        return found if len({x[3] for x in found}) > 1 else []
+
+    def wrapped(self, lines: list[int]) -> list[tuple]:
+        """Notices that go over several of a run of neighbouring dense lines.
+
+        From each line on, the run of lines that shares most of a template is taken, the
+        shortest of equal ones; the next one begins behind it.
+        """
+        found, k = [], 0
+        while k < len(lines) - 1:
+            best = None
+            for j in range(k + 1, len(lines)):
+                first, last = self.first[lines[k]], self.last[lines[j]]
+                if last - first > self.longest:
+                    break
+                family, probability, share = self.judge(first, last)
+                if family != UNKNOWN and (best is None or share > best[0]):
+                    best = share, j, family, probability
+            if best is None:
+                k += 1
+                continue
+            share, j, family, probability = best
+            span = int(self.lines.starts[lines[k]]), int(self.lines.ends[lines[j]])
+            found.append((lines[k], *span, family, probability, share))
+            k = j + 1
+        return found
+
+    def notices(self) -> list[tuple]:
+        """``(line, start, end, family, probability, similarity)`` in bytes, in order."""
+        found, open_lines = [], self.dense.copy()
+        for k in np.flatnonzero(self.told[self.last] - self.told[self.first] >= 2).tolist():
+            family, *shares = self.judge(self.first[k], self.last[k])
+            whole = [(k, int(self.lines.starts[k]), int(self.lines.ends[k]), family, *shares)]
+            own = self.sentences(k) if family != UNKNOWN or self.dense[k] else []
+            own = own or (whole if family != UNKNOWN else [])
+            found += own
+            open_lines[k] &= not own
+        rest = np.flatnonzero(open_lines)
+        near = np.diff(rest) == 1
+        near &= self.row[rest[1:]] == self.row[rest[:-1]]
+        near &= self.lines.starts[rest[1:]] - self.lines.ends[rest[:-1]] == 1
+        for run in np.split(rest, np.flatnonzero(~near) + 1):
+            found += self.wrapped(run.tolist())
+        return sorted(found, key=lambda x: x[1])
+
+
 def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``licenses``: the notices in each whole text, in order.
 
-    A notice has its family, line (from 0), place in code points (end exclusive), calibrated
-    probability and share of the best template. A null or empty text has none, and so has a
-    line without words of the templates; lines that are judged unknown or that no template
-    confirms are not reported. Rows, other columns, nulls and repeats come back as they are;
-    a column ``licenses`` is replaced.
+    A notice has its family, first line (from 0), place in code points (end exclusive),
+    calibrated probability and share of the best template. It is a line; or the sentences of a
+    line that are of several families; or neighbouring lines, without a blank one between,
+    none of which is a notice by itself. A null or empty text has none, and so has a line
+    without words of the templates; what is judged unknown or confirmed by no template is
+    not reported. Of templates that share equally the first counts, and of runs of lines the
+    shortest. Very long texts cost time in proportion to their length. Rows, other columns,
+    nulls and repeats come back as they are; a column ``licenses`` is replaced.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     state = docs.drop("licenses").withColumn("licenses", F.lit(None).cast(SPAN))
     index = len(state.columns) - 1
-    lined = np.ones(256, dtype=bool)
-    lined[10] = False
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
         for table in blocks(batches, text):
             data, begins = text_bytes(table[text])
-            words = Words(data, begins, ALNUM, LOWER)
-            codes, distinct = words.codes()
-            told = np.fromiter((w in known.words for w in distinct), bool, len(distinct))[codes]
-            lines = Words(data, begins, lined)
-            first = np.searchsorted(words.starts, lines.starts)
-            last = np.searchsorted(words.starts, lines.ends)
-            before = np.concatenate([[0], np.cumsum(told)])
-            chosen = np.flatnonzero(before[last] - before[first] >= 2)
-            row = np.searchsorted(lines.first, chosen, side="right") - 1
+            paragraphs = _Paragraphs(sent.value, data, begins)
+            points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+            breaks = np.concatenate([[0], np.cumsum(data == 10)])
             out: list[list] = [[] for _ in range(table.num_rows)]
-            for k, r in zip(chosen.tolist(), row.tolist(), strict=True):
-                own = [distinct[c] for c in codes[first[k] : last[k]]]
-                family, probability, share = known.judge(own)
-                if family == UNKNOWN:
-                    continue
-                head = data[begins[r] : lines.starts[k]].tobytes().decode()
-                line = data[lines.starts[k] : lines.ends[k]].tobytes().decode()
-                out[r].append(
+            for line, start, end, family, probability, share in paragraphs.notices():
+                row = paragraphs.row[line]
+                begin = begins[row]
+                out[row].append(
                     {
                         "family": FAMILIES[family],
-                        "line": head.count("\n"),
-                        "start": len(head),
-                        "end": len(head) + len(line),
+                        "line": int(breaks[start] - breaks[begin]),
+                        "start": int(points[start] - points[begin]),
+                        "end": int(points[end] - points[begin]),
                         "probability": probability,
                         "similarity": share,
                     }

@@ -1,5 +1,7 @@
 """Trained operators: toxicity, quality, licences; and the linear model below them."""
 
+import textwrap
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -123,6 +125,31 @@ def test_licence_families(spark, odd):
     assert licenses.train(odd.limit(0)).temperature > 0
 
 
+def test_wrapped_and_neighbouring_notices(spark):
+    prose = ["The quick brown fox jumps over the lazy dog in the public garden."] * 3
+    model = licenses.fit(prose)
+    rows, want = [], []
+    for family, notices in licenses.TEMPLATES.items():
+        for notice in notices:
+            for sign in ("", "# ", " * ", "// "):
+                lines = [sign + line for line in textwrap.wrap(notice, 72)]
+                rows.append("\n".join(["Prose é of a kind.", *lines, "The end of it."]))
+                want.append([family])
+    rows.append("Licensed under the MIT license. Licensed under the BSD 3-Clause License.")
+    want.append(["mit", "bsd"])
+    rows.append("Permission is hereby granted, free of charge, to any person\n\nobtaining a dog.")
+    want.append([])
+    got = licenses.scan(spark.createDataFrame(list(enumerate(rows)), "k int, text string"), model)
+    for r in got.collect():
+        # A line of a long notice may be a notice by itself.
+        assert sorted({x.family for x in r.licenses}) == sorted(want[r.k]), r.text
+        for x in r.licenses:
+            assert r.text[: x.start].count("\n") == x.line
+            assert r.text[x.start - 1 : x.start] in ("", "\n", " ") and x.end <= len(r.text)
+    mit = next(r for r in got.collect() if "Permission is hereby" in r.text and "# " in r.text)
+    assert [(x.line, r.text[x.end :]) for r in [mit] for x in r.licenses] == [(1, "\nThe end of it.")]
+
+
 def test_licence_query_finds_all_notices_of_the_table(spark, sf):
     known = {
         "GNU General Public License, version 3": "gpl-3.0", "MIT License": "mit",
