@@ -30,8 +30,11 @@ def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similarity 0.8 over five-word shingles."""
-    return simhash.keep_one(docs, simhash.similar(docs.filter("doc_id IS NOT NULL")))
+    """One document of each group of SimHash fingerprints at most three bits apart.
+
+    Fingerprints and groups are those of the query of operator 7.
+    """
+    return simhash.keep_one(docs, simhash.near_duplicates(docs.filter("doc_id IS NOT NULL")))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import corpus_pipeline
+from corpusloom.llm import simhash
 from corpusloom.llm.packing import CAPACITY
 from tests.llm.conftest import ROWS
 
@@ -32,3 +33,10 @@ def test_pipeline_of_the_tables(spark, sf):
     assert single.select("text").distinct().count() > 0.9 * docs.select("text").distinct().count()
     sizes = rows.groupBy("sequence_id").sum("length").collect()
     assert all(n <= CAPACITY and n & (n - 1) == 0 for _, n in sizes)
+
+
+def test_near_duplicates_are_those_of_simhash(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    groups = simhash.near_duplicates(docs).select("component").distinct()
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, sf).select("doc_id")
+    assert sorted(kept.collect()) == sorted(groups.collect())
