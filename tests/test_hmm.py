@@ -198,3 +198,15 @@ def test_save_and_load(spark, tmp_path):
     back = hmm.load_model(spark, str(tmp_path / "m"))
     assert (back.a == model.a).all() and (back.pi == model.pi).all()
     assert (b_of(back) == B).all() and back.vocab_size == 2
+
+
+def test_only_tokens_above_the_limit_are_joined(spark):
+    line = "b a c a d e a f b"
+    lines = spark.createDataFrame([(k, line[: 2 * k + 1]) for k in range(9)], "id long, line string")
+    vocab = hmm.line_vocab(lines, ["id"])
+    coded, model = hmm.encode_lines(lines, ["id"], vocab), hmm.init_model(vocab, 2)
+    want = sorted(hmm.forward(coded, model).collect())
+    half = model.vocab_size // 2 * model.states * 8
+    assert sorted(hmm.forward(coded, model, half).collect()) == want
+    joined = hmm._with_emissions(coded, model, half)[0].select(F.explode("tokens").alias("t"))
+    assert 0 < joined.agg(F.min("t")).first()[0] == model.vocab_size // 2
