@@ -143,3 +143,18 @@ def test_decode_texts_keeps_rows_without_ids(spark, limit):
     got = en.decode_texts(df, ["id"], "ids", vocab, "-", limit).collect()
     want = [(1, "b-a"), (2, ""), (None, ""), (1, "a"), (3, "<unk>-b")]
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("unknown", [3, None])
+def test_tokens_above_the_limit_are_joined_and_others_looked_up(spark, unknown):
+    texts = [(1, "a b c\nd e a"), (1, "f g a"), (2, ""), (3, None), (None, "a b"), (4, "z c g g"), (5, "y")]
+    df = spark.createDataFrame(texts, "id long, text string").withColumn("other", F.reverse("text"))
+    seen = df.filter("id < 4 OR id IS NULL").select(F.coalesce("id", F.lit(9)).alias("id"), "text")
+    vocab = en.build_vocab(tk.token_rows(seen, ["id"], "text", tk.pieces), ["id", "pos"])
+    columns = {"ids": "text", "back": "other"}
+    coded = [
+        sorted(map(str, en.encode_texts(df, ["id"], columns, vocab, unknown_id=unknown, broadcast_limit=limit).collect()))
+        for limit in (en.BROADCAST_LIMIT, 90)
+    ]
+    assert 0 < en._head(vocab, 90) < vocab.count()
+    assert coded[0] == coded[1]
