@@ -100,3 +100,25 @@ def test_different_keys_draw_apart(spark, keys):
     drawn = [r.u for r in df.select("k", "l", uniform(42, "k", "l").alias("u")).collect()]
     assert drawn[0] != drawn[1]
     assert drawn == [uniform_value(42, *k) for k in keys]
+
+
+def test_few_walkers_take_a_short_query_for_each_word(spark, monkeypatch):
+    texts = spark.createDataFrame([("a b c a b d a b e",), ("a b c d",)], "t string")
+    chain = mk.markov2(texts, "t")
+    prompts = spark.createDataFrame([(1, "a b"), (2, "x y"), (3, "b c")], "id int, text string")
+    joins, one_step = [], de.advance
+
+    def counted(*given, **named):
+        moved = one_step(*given, **named)
+        joins.append(moved._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return moved
+
+    def rows():
+        got = de.sample_continuations(chain, prompts, "id", "text", 30, 9, cut_every=4)
+        return sorted((r.id, r["sample"], tuple(r.tokens)) for r in got.collect())
+
+    monkeypatch.setattr(de, "advance", counted)
+    few = rows()
+    assert set(joins) == {1} and len(few) == 90
+    monkeypatch.setattr(de, "few_walkers", lambda walkers: False)
+    assert rows() == few
