@@ -61,3 +61,21 @@ def test_training_equals_em_over_all_paths(spark):
     got, _ = hmm.train(lines, ["id"], states=2, max_iterations=4)
     for x, y in zip((got.a, emissions(got), got.pi), want):
         assert x == pytest.approx(y, abs=1e-6)
+
+
+def test_one_job_an_iteration_gives_the_model_of_the_tables(spark, monkeypatch):
+    data = ["one two", "three one", "two", "four three", "one three two five", "six"]
+    lines = hmm.training_lines(spark.createDataFrame(list(enumerate(data)), "id bigint, line string"))
+    joined, slow = hmm.train(lines, ["id"], states=2, max_iterations=3, limit=0)
+
+    def no_tables(*given):
+        raise AssertionError("a step by tables")
+
+    monkeypatch.setattr(hmm, "em_step", no_tables)
+    monkeypatch.setattr(hmm, "converged", no_tables)
+    whole, fast = hmm.train(lines, ["id"], states=2, max_iterations=3)
+    assert fast == pytest.approx(slow) and len(fast) == 3
+    assert whole.a == pytest.approx(joined.a) and whole.pi == pytest.approx(joined.pi)
+    rows = [sorted(map(tuple, m.b.collect())) for m in (whole, joined)]
+    assert [r[0] for r in rows[0]] == [r[0] for r in rows[1]]
+    assert np.array(rows[0]) == pytest.approx(np.array(rows[1]))
