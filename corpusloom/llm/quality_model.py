@@ -3,12 +3,13 @@
 A document's strength is linear in measures of its text. Pairs of one labelled document of
 either class are preferences for the better one; the logistic loss on the difference of
 their measures gives the weights. A quantile of the strengths, at the labels' share of the
-lower class, is the threshold.
+lower class, is the threshold. Every labelled row counts in all of them: Spark adds up what
+each step of the fit needs, and only such sums reach the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,11 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.linear import sigmoid
-from corpusloom.llm.toxicity import label_sample
+from corpusloom.llm.store import bytes_of, size_on_disk, written
 from corpusloom.llm.words import LOWER, VISIBLE, Words, blocks, mix, text_bytes
+from corpusloom.operators.indexing import with_index, with_running_total
 
-#: Labelled rows of each class that a model is fitted on, and preferences of each, at most.
-SAMPLE_ROWS, PARTNERS = 4000, 8
+#: Preferences of each row of the larger class.
+PARTNERS = 8
 
 _SIGNS = np.zeros(256, dtype=bool)
 _SIGNS[list(b"#*$%&|<>@^~=+_{}[]\\/")] = True
@@ -124,70 +126,170 @@ class Model:
 def fit_preferences(better: np.ndarray, worse: np.ndarray, penalty: float = 1e-3) -> np.ndarray:
     """Weights for which ``better`` beats ``worse``, row by row, most likely (Newton steps)."""
     apart = better - worse
-    w = np.zeros(apart.shape[1])
+    return _newton(lambda w: _lost(apart, w), apart.shape[1], len(apart), penalty)
+
+
+def _lost(apart: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Sums of the loss's slope and, row by row, of its curvature at ``w``."""
+    lost = sigmoid(-(apart @ w))
+    bend = (apart * (lost * (1 - lost))[:, None]).T @ apart
+    return np.concatenate([-(apart * lost[:, None]).sum(0), bend.ravel()])
+
+
+def _newton(sums: Callable, width: int, rows: int, penalty: float = 1e-3) -> np.ndarray:
+    w = np.zeros(width)
     for _ in range(30):
-        lost = sigmoid(-(apart @ w))
-        slope = -(apart * lost[:, None]).mean(0) + penalty * w
-        bend = (apart * (lost * (1 - lost))[:, None]).T @ apart / len(apart)
-        step = np.linalg.solve(bend + penalty * np.eye(len(w)), slope)
+        found = sums(w) / rows
+        slope, bend = found[:width] + penalty * w, found[width:].reshape(width, width)
+        step = np.linalg.solve(bend + penalty * np.eye(width), slope)
         w = w - step
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(column), len(MEASURES))
+
+
+def _summed(table: DataFrame, compute: Callable[[np.ndarray], np.ndarray], size: int) -> np.ndarray:
+    """The sum of ``compute(x)``, ``size`` numbers, over all batches of the column ``x``."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            if batch.num_rows:
+                total += compute(_matrix(pa.chunked_array([batch.column(0)])))
+        yield pa.record_batch([pa.array(np.arange(size)), pa.array(total)], ["place", "value"])
+
+    rows = table.select("x").mapInArrow(work, "place bigint, value double")
+    found, out = rows.groupBy("place").agg(F.sum("value").alias("value")).toArrow(), np.zeros(size)
+    out[found["place"].to_numpy()] = found["value"].to_numpy()
+    return out
+
+
+def _measured(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> DataFrame:
+    """``(key, label, x)`` of every labelled document.
+
+    Repeated labels of a key count once (the larger), null ones not at all. Within Spark's
+    broadcast threshold the labels go to the texts; beyond it every text is measured and the
+    measures are joined, so that no text is shuffled.
+    """
+    known = (
+        labels.filter(F.col(key).isNotNull() & F.col(label).isin(0, 1))
+        .groupBy(F.col(key).alias("_key"))
+        .agg(F.max(label).cast("bigint").alias("_label"))
+    )
+    spark = docs.sparkSession
+    known, path = written(known, "labels")
+    small = size_on_disk(spark, path) <= bytes_of(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    texts = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    none = F.lit(None).cast("bigint").alias("label")
+    if small:
+        texts = texts.join(F.broadcast(known), F.col("key") == F.col("_key"))
+        texts = texts.select("key", F.col("_label").alias("label"), "text")
+    else:
+        texts = texts.select("key", none, "text")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in blocks(batches, "text"):
+            x = pa.array(list(measures(table["text"])), type=pa.list_(pa.float64()))
+            kept = [table[c].combine_chunks() for c in ("key", "label")]
+            yield pa.record_batch([*kept, x], ["key", "label", "x"])
+
+    kind = texts.schema["key"].dataType.simpleString()
+    found = texts.mapInArrow(work, f"key {kind}, label bigint, x array<double>")
+    if not small:
+        found = found.drop("label").join(known, F.col("key") == F.col("_key"))
+        found = found.select("key", F.col("_label").alias("label"), "x")
+    return written(found, "measures")[0]
+
+
+def _preferences(rows: DataFrame, good: int, bad: int) -> DataFrame:
+    """``x``, better minus worse: ``PARTNERS`` rows of the smaller class for each of the larger.
+
+    ``rows`` have ``idx``, the worse ones first. Partners follow from the row's number.
+    """
+    many = 1 if good >= bad else 0
+    many_rows = rows.filter(F.col("label") == many)
+    at = F.pmod(F.xxhash64("idx", "turn"), F.lit(min(good, bad))) + (0 if many else bad)
+    turns = F.explode(F.sequence(F.lit(0), F.lit(PARTNERS - 1))).alias("turn")
+    asked = many_rows.select("idx", "x", turns).select(F.col("x").alias("mine"), at.alias("idx"))
+    pairs = asked.join(rows.filter(F.col("label") != many).select("idx", "x"), "idx")
+    better, worse = ("mine", "x") if many else ("x", "mine")
+    return pairs.select(F.zip_with(better, worse, lambda p, q: p - q).alias("x"))
+
+
+def _threshold(rows: DataFrame, share: float, good: int, bad: int) -> float:
+    """The quantile of ``strength`` below which the labels' share of the lower class is.
+
+    Between the two strengths around it, halfway, so that none of them sits on it.
+    """
+    numbered = rows.withColumnRenamed("idx", "number")
+    placed = with_running_total(numbered, ["strength", "label", "number"], "label")
+    goods = F.col("before") + F.col("label")
+    below = goods * (share / good) + (F.col("idx") + 1 - goods) * ((1 - share) / bad)
+    last = good + bad - 1
+    cut = placed.filter(below >= 1 - share - 1e-9).agg(F.min("idx")).first()[0]
+    cut = last if cut is None else cut
+    asked = [min(cut, last), min(cut + 1, last)]
+    found = {r["idx"]: r["strength"] for r in placed.filter(F.col("idx").isin(asked)).collect()}
+    return float(np.mean([found[i] for i in asked]))
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
     key: str = "doc_id",
     text: str = "text",
     label: str = "quality",
-    rows: int = SAMPLE_ROWS,
 ) -> Model:
-    """Fits the ranking on at most ``rows`` labelled rows of each class of ``labels``.
+    """Fits the ranking on all labelled rows of ``labels``.
 
     Give only the rows that may be learnt from. Without rows of both classes every text
     scores alike, on the side of the class there is (the better one without any label).
     """
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in blocks(batches, "text"):
-            x = pa.array(list(measures(table["text"])), type=pa.list_(pa.float64()))
-            yield pa.record_batch([table["label"].combine_chunks().cast(pa.int64()), x], ["label", "x"])
-
-    sample = label_sample(docs, labels, key, text, label, rows)
-    got = sample.mapInArrow(work, "label bigint, x array<double>").toArrow()
-    share = labels.agg(F.avg(F.col(label).cast("double"))).first()[0]
-    truth = got["label"].to_numpy()
-    x = np.array(got["x"].to_pylist(), dtype=np.float64).reshape(len(truth), len(MEASURES))
-    order = np.lexsort((*x.T, truth))  # whatever order the rows arrive in
-    x, truth = x[order], truth[order]
-    good, bad = np.flatnonzero(truth == 1), np.flatnonzero(truth == 0)
-    if not len(good) or not len(bad):
-        zero = np.zeros(len(MEASURES))
-        side = -1.0 if len(good) or not len(bad) else 1.0
+    measured, width = _measured(docs, labels, key, text, label), len(MEASURES)
+    counts = {r["label"]: r["count"] for r in measured.groupBy("label").count().collect()}
+    good, bad = counts.get(1, 0), counts.get(0, 0)
+    if not good or not bad:
+        zero = np.zeros(width)
+        side = -1.0 if good or not bad else 1.0
         return Model(zero, zero + 1, zero, side, 1.0)
-    mean, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
-    x = (x - mean) / scale
-    rng = np.random.default_rng(7)
-    pairs = PARTNERS * max(len(good), len(bad))
-    weights = fit_preferences(x[rng.choice(good, pairs)], x[rng.choice(bad, pairs)])
-    strength = x @ weights
-
-    # The labels' share of the lower class is below the threshold. Between the two scores
-    # around that quantile, halfway, so that none of them sits on it.
-    weight = np.where(truth == 1, share / len(good), (1 - share) / len(bad))
-    order = np.argsort(strength, kind="stable")
-    below = np.cumsum(weight[order])
-    cut = int(np.searchsorted(below, 1 - share - 1e-9))
-    near = strength[order][[min(cut, len(order) - 1), min(cut + 1, len(order) - 1)]]
-    threshold = float(near.mean())
+    share = labels.agg(F.avg(F.col(label).cast("double"))).first()[0]
+    n = good + bad
+    mean = _summed(measured, lambda x: x.sum(0), width) / n
+    spread = _summed(measured, lambda x: ((x - mean) ** 2).sum(0), width) / n
+    scale = np.maximum(np.sqrt(spread), 1e-6)
+    rows = with_index(measured, ["label", F.xxhash64("key"), "key", "x"])
+    apart, _ = written(_preferences(rows, good, bad), "preferences")
+    pairs = PARTNERS * max(good, bad)
+    weights = _newton(
+        lambda w: _summed(apart, lambda d: _lost(d / scale, w), width * (width + 1)), width, pairs
+    )
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _matrix(pa.chunked_array([batch.column(2)]))
+            strength = pa.array((x - mean) / scale @ weights)
+            yield pa.record_batch([batch.column(0), batch.column(1), strength], ["idx", "label", "strength"])
+
+    schema = "idx bigint, label bigint, strength double"
+    rows, _ = written(rows.select("idx", "label", "x").mapInArrow(judged, schema), "strengths")
+    threshold = _threshold(rows, share, good, bad)
     slope = 1.0
+    weight = F.when(F.col("label") == 1, share / good).otherwise((1 - share) / bad)
+    over = F.col("strength") - threshold
     for _ in range(50):
-        p = sigmoid(slope * (strength - threshold))
-        gradient = (weight * (p - truth) * (strength - threshold)).sum() + 1e-4 * slope
-        bend = (weight * p * (1 - p) * (strength - threshold) ** 2).sum() + 1e-4
-        slope = float(np.clip(slope - np.clip(gradient / bend, -1, 1), 0.05, 50))
+        p = 1 / (1 + F.exp(over * -slope))
+        sums = rows.agg(
+            F.sum(weight * (p - F.col("label")) * over), F.sum(weight * p * (1 - p) * over * over)
+        ).first()
+        step = np.clip((sums[0] + 1e-4 * slope) / (sums[1] + 1e-4), -1, 1)
+        slope = float(np.clip(slope - step, 0.05, 50))
+        if abs(step) < 1e-9:
+            break
     return Model(mean, scale, weights, threshold, slope)
 
 

@@ -160,3 +160,26 @@ def test_licence_query_finds_all_notices_of_the_table(spark, sf):
     for r in op1_licenses(spark, sf).collect():
         want = ",".join(sorted(name for part, name in known.items() if part in texts[r.doc_id]))
         assert r.families == want
+
+
+def test_quality_is_fitted_on_every_labelled_row(spark):
+    # Far more rows of a class than any sample would hold; one rare kind settles the mean.
+    n = 10000
+    docs = spark.range(n).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 2 == 0, F.concat(F.lit("some plain words "), "id"))
+        .otherwise(F.concat(F.lit("a|b|c ### "), "id"))
+        .alias("text"),
+    )
+    labels = docs.select("doc_id", (F.col("doc_id") % 2 == 0).cast("int").alias("quality"))
+    model = quality_model.train(docs, labels)
+    x = quality_model.measures(docs.toArrow()["text"])
+    assert np.allclose(model.mean, x.mean(0), rtol=1e-12, atol=1e-12)
+    strength = np.sort(model.strength(x))
+    assert model.threshold == pytest.approx(strength[n // 2 - 1 : n // 2 + 1].mean())
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "0")
+    try:
+        assert np.allclose(quality_model.train(docs, labels).weights, model.weights)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
