@@ -104,13 +104,7 @@ def walk_sql(starts: str, keys: str) -> str:
 
 
 def _writer(t):
-    lines = t.lines()
-    chain2 = mk.with_probability(mk.markov2(lines, "line"), ["w1", "w2"])
-    return mk.LineWriter(mk.markov1(lines, "line"), chain2)
-
-
-def _line_starts(t):
-    return mk.start_words(t.lines(), "line")
+    return mk.TextLineWriter(t.lines(), "line")
 
 
 @query(
@@ -118,7 +112,8 @@ def _line_starts(t):
     f"WITH RECURSIVE {LINE_CHAINS}, {walk_sql('line_starts', 'word')} SELECT word, line FROM written",
 )
 def write_line(t):
-    return _writer(t).write_lines(_line_starts(t), ["word"], "word")
+    writer = _writer(t)
+    return writer.write_lines(writer.start_words(), ["word"], "word")
 
 
 PLAYS, PLAY_LENGTH = 150, 150
@@ -138,7 +133,8 @@ PLAYS, PLAY_LENGTH = 150, 150
       FROM (SELECT DISTINCT play FROM hints) LEFT JOIN written USING (play) GROUP BY play""",
 )
 def write_play(t):
-    return _writer(t).write_play(_line_starts(t), PLAYS, PLAY_LENGTH)
+    writer = _writer(t)
+    return writer.write_play(writer.start_words(), PLAYS, PLAY_LENGTH)
 
 
 @query(
@@ -188,8 +184,8 @@ GENERATED_TEXT = f"""{LINE_CHAINS},
 )
 def generated_report(t):
     """Plays written by the chains, made into texts and measured."""
-    lines = t.lines()
-    plays = _writer(t).write_play(_line_starts(t), PLAYS, PLAY_LENGTH)
+    lines, writer = t.lines(), _writer(t)
+    plays = writer.write_play(writer.start_words(), PLAYS, PLAY_LENGTH)
     texts = plays.withColumn("text", tx.newline_to_period(F.col("text"))).filter("text <> ' '")
     texts = materialise(texts, "plays")
     repetition = materialise(me.ngram_repetition(texts, "text"), "repetition")
