@@ -1,11 +1,14 @@
 """Forward and backward values of lines of any length, by an associative scan.
 
-A line is rows of chunks, each of a bounded number of tokens. Every chunk becomes a matrix
-in a task of its own; neighbouring matrices are multiplied block by block, the products
-again, until one block has the whole line. On the way down each block hands its chunks the
-state probabilities they are entered with and the backward values they leave with, and the
-chunks are then worked on by themselves. No task holds more than a chunk or a block of
-matrices, whatever the length of a line; the number of levels is its logarithm.
+A line is rows of chunks, each of a bounded number of tokens, and every chunk becomes a
+matrix. Consecutive chunks of a line that lie together are a segment, whose matrices are
+multiplied where they are made. A line of several segments has their products multiplied
+block by block, the products again, until one block has the whole line. On the way down each
+block hands its segments, and a segment its chunks, the state probabilities they are entered
+with and the backward values they leave with, and the chunks are then worked on by
+themselves. No task holds more than a segment or a block of matrices, whatever the length of
+a line; the number of levels is its logarithm. Matrices of a line that is one segment are
+never sent or written.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +32,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Tokens of a chunk, and matrices of a block.
 CHUNK, FAN = 4096, 64
+#: Tokens of a segment; a longer chunk is one by itself.
+SEGMENT = 2**15
+#: Up to so many lines of several segments are broadcast to tell them from the others.
+FEW_CUT = 100_000
 
 
 def cut_lines(lines: DataFrame, size: int = CHUNK) -> DataFrame:
@@ -109,24 +117,87 @@ def _vectors(nodes: DataFrame, pi: np.ndarray) -> DataFrame:
     return _rows(blocks.join(above, ["_seq", "_block"]), down, _VECTORS)
 
 
-def _batched(chunks: DataFrame, model: Model, limit: int, compute, schema: str) -> DataFrame:
-    """``compute(batch, layout, emissions)`` on batches of chunks, beside their other columns."""
-    kept = [f for f in chunks.schema if f.name not in ("ids", "left", "right")]
+def _segments(chunks: DataFrame, size: int) -> DataFrame:
+    """``(_seq, _chunk, keys, sizes, ids)``: consecutive chunks of a line that lie together.
+
+    ``_chunk`` is the first one, ``sizes`` has the tokens of each. Which chunks those are
+    depends on how the table is read, so the segments are written.
+    """
+    kept = [f for f in chunks.schema if f.name != "ids"]
     names = [f.name for f in kept]
-    lines, with_emissions = _with_emissions(chunks, model, limit)
+
+    def starts_of(batch: pa.RecordBatch) -> np.ndarray:
+        seq, chunk = (batch.column(batch.schema.get_field_index(n)) for n in ("_seq", "_chunk"))
+        other = pc.not_equal(seq.slice(1), seq.slice(0, len(seq) - 1)).to_numpy(zero_copy_only=False)
+        begins = np.concatenate([[True], other | (np.diff(chunk.to_numpy()) != 1)])
+        tokens = kernel.list_parts(batch, "ids")[0]
+        before = np.cumsum(tokens) - tokens
+        piece = (before - before[np.flatnonzero(begins)[np.cumsum(begins) - 1]]) // size
+        begins[1:] |= piece[1:] != piece[:-1]
+        return np.flatnonzero(begins)
+
+    def made(batch: pa.RecordBatch, starts: np.ndarray) -> pa.RecordBatch:
+        sizes, ids = kernel.list_parts(batch, "ids")
+        tokens = np.add.reduceat(sizes, starts)
+        counts = np.diff(np.append(starts, batch.num_rows))
+        at = pa.array(starts)
+        own = [batch.column(batch.schema.get_field_index(n)).take(at) for n in names]
+        lists = [kernel.list_column(counts, sizes.astype(np.int32)), kernel.list_column(tokens, ids)]
+        return pa.RecordBatch.from_arrays([*own, *lists], [*names, "sizes", "ids"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None  # the last segment so far, which the next batch may go on with
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if rest is not None:
+                batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+            starts = starts_of(batch)
+            if len(starts) > 1:
+                yield made(batch.slice(0, starts[-1]), starts[:-1])
+            rest = batch.slice(starts[-1])
+        if rest is not None:
+            yield made(rest, np.array([0]))
+
+    own = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept]
+    schema = ", ".join([*own, "sizes array<int>", "ids array<bigint>"])
+    return materialise(chunks.mapInArrow(work, schema), "segments")
+
+
+def _batched(segments: DataFrame, model: Model, limit: int, compute, schema: str) -> DataFrame:
+    """The columns that ``compute(batch, layout, emissions)`` makes of batches of segments.
+
+    ``layout`` is that of their chunks. Columns that have a row for each chunk go beside the
+    other columns of the segment.
+    """
+    kept = [f for f in segments.schema if f.name not in ("sizes", "ids", "left", "right")]
+    names = [f.name for f in kept]
+    lines, with_emissions = _with_emissions(segments, model, limit)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, emitted in with_emissions(batches):
-            layout = kernel.Layout(kernel.list_parts(batch, "ids")[0])
-            added = compute(batch, layout, layout.scatter(emitted))
-            own = [batch.column(batch.schema.get_field_index(n)) for n in names]
-            yield pa.RecordBatch.from_arrays(own + list(added.values()), names + list(added))
+            counts, sizes = kernel.list_parts(batch, "sizes")
+            layout = kernel.Layout(sizes.astype(np.int64))
+            added = compute(batch, layout, layout.scatter(emitted), counts)
+            each = len(next(iter(added.values())))
+            rows = np.arange(len(counts)) if each == len(counts) else np.repeat(np.arange(len(counts)), counts)
+            own = {n: batch.column(batch.schema.get_field_index(n)).take(pa.array(rows)) for n in names}
+            columns = own | added
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     own = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept]
     return lines.mapInArrow(work, ", ".join([*own, schema]))
 
 
-def scan(chunks: DataFrame, model: Model, limit: int = BROADCAST_LIMIT) -> DataFrame:
+def _numbers(batch: pa.RecordBatch, counts: np.ndarray) -> np.ndarray:
+    """The number in its line of each chunk of a batch of segments."""
+    first = batch.column(batch.schema.get_field_index("_chunk")).to_numpy()
+    return np.repeat(first - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+
+
+def scan(
+    chunks: DataFrame, model: Model, limit: int = BROADCAST_LIMIT, segment: int = SEGMENT
+) -> DataFrame:
     """``(_seq, _chunk, keys, log_likelihood, alpha, beta)`` of the chunks of ``cut_lines``.
 
     ``alpha`` and ``beta`` hold K numbers for each position of the chunk: the filtered state
@@ -136,32 +207,48 @@ def scan(chunks: DataFrame, model: Model, limit: int = BROADCAST_LIMIT) -> DataF
     """
     a, pi, k = model.a, model.pi, model.states
 
-    def products(batch, layout, e):
-        first = batch.column(batch.schema.get_field_index("_chunk")).to_numpy() == 0
-        rows, logs = kernel.chunk_products(layout, e, a, first)
+    def products(batch, layout, e, counts):
+        rows, logs = kernel.chunk_products(layout, e, a, _numbers(batch, counts) == 0)
+        rows, logs = kernel.composed_runs(kernel.Layout(counts), rows, logs)
         n = len(rows)
         return {
             "rows": kernel.list_column(np.full(n, k * k), rows.ravel()),
             "logs": kernel.list_column(np.full(n, k), logs.ravel()),
         }
 
-    def passes(batch, layout, e):
-        first = batch.column(batch.schema.get_field_index("_chunk")).to_numpy() == 0
-        left, right = (kernel.list_parts(batch, n)[1].reshape(-1, k) for n in ("left", "right"))
+    def passes(batch, layout, e, counts):
+        numbers = _numbers(batch, counts)
+        first = numbers == 0
+        if "left" in batch.schema.names:
+            ends = [kernel.list_parts(batch, n)[1].reshape(-1, k) for n in ("left", "right")]
+        else:
+            ends = [np.tile(pi, (len(counts), 1)), np.full((len(counts), k), 1.0 / k)]
+        rows, logs = kernel.chunk_products(layout, e, a, first)
+        left, right = kernel.entered_runs(kernel.Layout(counts), rows, logs, *ends)
         prior = np.where(first[:, None], left, left @ a)
         alpha, beta, scale = kernel.chunk_passes(layout, e, a, prior, right)
         size = layout.lengths * k
         return {
+            "_chunk": pa.array(numbers),
             "log_likelihood": pa.array(kernel.log_likelihood(layout, scale)),
             "alpha": kernel.list_column(size, layout.gather(alpha).ravel()),
             "beta": kernel.list_column(size, layout.gather(beta).ravel()),
         }
 
-    slim = chunks.select("_seq", "_chunk", "ids")
+    schema = "log_likelihood double, alpha array<double>, beta array<double>"
+    segments = _segments(chunks, segment)
+    several = materialise(segments.filter("_chunk > 0").select("_seq").distinct(), "cut")
+    if several.isEmpty():
+        return _batched(segments, model, limit, passes, schema)
+    if several.count() <= FEW_CUT:
+        several = F.broadcast(several)
+    whole = segments.join(several, "_seq", "left_anti")
+    parts = materialise(segments.join(several, "_seq", "left_semi"), "parts")
+    slim = parts.select("_seq", "_chunk", "sizes", "ids")
     made = _batched(slim, model, limit, products, "rows array<double>, logs array<double>")
     vectors = _vectors(materialise(made, "products"), pi)
-    schema = "log_likelihood double, alpha array<double>, beta array<double>"
-    return _batched(chunks.join(vectors, ["_seq", "_chunk"]), model, limit, passes, schema)
+    joined = _batched(parts.join(vectors, ["_seq", "_chunk"]), model, limit, passes, schema)
+    return _batched(whole, model, limit, passes, schema).unionByName(joined)
 
 
 def _keys(df: DataFrame) -> list[str]:
