@@ -1,6 +1,7 @@
 """Array functions on the word hashes of a batch of texts, inside a task.
 
-A batch is flat: ``row``, the number of each word's text, and ``words``, its 64-bit hash.
+A batch is flat: ``row``, the number of each word's text, and ``words``, its 64-bit hash. The
+functions named ``_words`` are given the words themselves.
 """
 
 from __future__ import annotations
@@ -59,6 +60,41 @@ def joined(batches):
         yield tuple(np.concatenate(p) for p in zip(*parts, strict=True))
 
 
+def joined_words(batches):
+    """``(words, row)``: flat parts of about ``BATCH_WORDS`` words from batches of a list column."""
+    for batch in batches:
+        column, begin = batch.column(0), 0
+        sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        while begin < len(column):
+            before = ends[begin - 1] if begin else 0
+            end = max(int(np.searchsorted(ends, before + BATCH_WORDS, side="right")), begin + 1)
+            row = np.repeat(np.arange(end - begin), sizes[begin:end])
+            yield column.slice(begin, end - begin).flatten(), row
+            begin = end
+
+
+def counted_words(words: pa.Array, row: np.ndarray, end: str):
+    """Columns ``(w1, w2, nxt)`` of the distinct triples of a flat part, and their numbers.
+
+    A text's last pair leads to ``end``; a text of two words has no triple.
+    """
+    coded = words.dictionary_encode()
+    known = pa.concat_arrays([coded.dictionary, pa.array([end], words.type)])
+    code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    at, last = _pairs(row)
+    if not len(at):
+        return
+    after = np.where(last, len(known) - 1, code[np.minimum(at + 2, len(code) - 1)])
+    parts, base = [code[at], code[at + 1], after], len(known)
+    if base < 2**21:
+        key, n = np.unique((parts[0] * base + parts[1]) * base + parts[2], return_counts=True)
+        parts = [key // (base * base), key // base % base, key % base]
+    else:
+        parts, n = _counted(parts)
+    yield [known.take(pa.array(p)) for p in parts], pa.array(n.astype(np.int64))
+
+
 def packed_ngrams(row: np.ndarray, words: np.ndarray, n: int, groups: int):
     """Record batches ``(n, part, total, hashes)``: the distinct n-grams of each part."""
     size = max(len(words) - n + 1, 0)
@@ -97,20 +133,24 @@ def distinct(hashes: pa.ChunkedArray) -> int:
     return len(np.unique(np.concatenate(parts)))
 
 
-def triples(row: np.ndarray, words: np.ndarray, end: int):
-    """``(row, pair, triple, after)``, hashes as signed numbers.
-
-    A text's last pair leads to ``end``; a text of two words has no triple.
-    """
-    size = max(len(words) - 1, 0)
-    at = np.flatnonzero(row[:size] == row[1:])
+def _pairs(row: np.ndarray):
+    """Where a pair of neighbours begins that is not all of its text, and whether it is the last."""
+    at = np.flatnonzero(row[:-1] == row[1:])
     here = row[at]
     last = np.ones(len(at), dtype=bool)
     last[:-1] = here[1:] != here[:-1]
     first = np.ones(len(at), dtype=bool)
     first[1:] = here[1:] != here[:-1]
     kept = ~(first & last)
-    at, last = at[kept], last[kept]
+    return at[kept], last[kept]
+
+
+def triples(row: np.ndarray, words: np.ndarray, end: int):
+    """``(row, pair, triple, after)``, hashes as signed numbers.
+
+    A text's last pair leads to ``end``; a text of two words has no triple.
+    """
+    at, last = _pairs(row)
     ending = np.array([end], dtype=np.int64).view(np.uint64)[0]
     after = np.where(last, ending, words[np.minimum(at + 2, len(words) - 1)] if len(at) else ending)
     pair = chained([words[at], words[at + 1]], 0)
